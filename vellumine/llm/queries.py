@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vellumine.llm import confusables, names, site_lines
+from vellumine.llm import confusables, leaks, mixing, names, ocr, quality, site_lines
 from vellumine.sources.tables import table
 
 
@@ -18,6 +18,23 @@ def p2_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     return names.linked(table(spark, sf_dir, "ref_records", ["authors", "source"]))
 
 
+def _scans(spark: SparkSession, sf_dir: str) -> ocr.Scans:
+    return ocr.Scans(
+        {
+            "content_list": (table(spark, sf_dir, "content_list", ["item_id", "type", "text_level", "text"]), "item_id"),
+            "paragraphs": (table(spark, sf_dir, "paragraphs", ["para_key", "text"]), "para_key"),
+        }
+    )
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _scans(spark, sf_dir).damaged()
+
+
+def p3_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _scans(spark, sf_dir).repaired()
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return confusables.lookalikes(
         {
@@ -46,5 +63,41 @@ def p5_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return site_lines.site_line_report(table(spark, sf_dir, "content_list", _CONTENT))
 
 
+def p6_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks.leaks(table(spark, sf_dir, "documents", ["doc_id", "text"]), table(spark, sf_dir, "eval_items", ["item_id", "item_text"]))
+
+
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p6_leaks(spark, sf_dir).select("doc_id", "item_id")
+
+
+def p6_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks.leaked_items(p6_leaks(spark, sf_dir))
+
+
+def _mix(spark: SparkSession, sf_dir: str) -> mixing.Mixer:
+    return mixing.Mixer(table(spark, sf_dir, "documents", ["doc_id", "text", "source"]), table(spark, sf_dir, "mix_targets"))
+
+
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _mix(spark, sf_dir).unreachable()
+
+
+def p7_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _mix(spark, sf_dir).shares()
+
+
+def p7_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _mix(spark, sf_dir).mixed()
+
+
+def p8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents", ["doc_id", "text", "lang"]), table(spark, sf_dir, "common_words"))
+
+
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.not_prose(p8_quality(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name[:1] == "p" and "_" in name and name[1].isdigit()}

@@ -1,4 +1,7 @@
-"""The SQL that says the same as the queries outside the llm subpackage."""
+r"""The SQL that says the same as the queries outside the llm subpackage, for DuckDB.
+
+White space is matched by an explicit class, since its engine's \s is ASCII; lookarounds, which it lacks, are avoided.
+"""
 
 from __future__ import annotations
 
@@ -30,6 +33,131 @@ P1 = {
     + f" UNION SELECT DISTINCT rec_id, {_PLACES.format('block_no', 'sub_no', -1, -1)}, s.bbox[1], s.bbox[2], s.bbox[3], s.bbox[4], s.type FROM s WHERE s IS NOT NULL",
 }
 
+WS = r"[\s\x0b\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+NWS = WS.replace("[", "[^", 1)
+
+
+def strip(x: str) -> str:
+    return f"regexp_replace({x}, '^{WS}+|{WS}+$', '', 'g')"
+
+
+_ROMAN = ", ".join(f"'{r}'" for r in "I II III IV V VI VII VIII IX X XI XII XIII XIV XV XVI XVII XVIII XIX XX XXI XXII XXIII XXIV XXV XXVI XXVII XXVIII XXIX XXX XL L".split())
+
+#: The items of content_list with their outline, stated set by set.
+OUTLINE = rf"""
+WITH items AS (
+  SELECT DISTINCT paper_id AS doc_id, idx, type, text, text_level, page_idx, img_path, img_caption, table_caption, table_body,
+    {strip("coalesce(text, '')")} AS stripped,
+    coalesce(text_level = 1 AND contains(type, 'text'), false) AS is_header
+  FROM content_list WHERE paper_id IS NOT NULL AND idx IS NOT NULL),
+prefixed AS (SELECT *, regexp_extract(stripped, '^({NWS}+){WS}+', 1) AS prefix FROM items),
+formed AS (
+  SELECT *, CASE WHEN upper(regexp_replace(prefix, '[.)]+$', '')) IN ({_ROMAN}) THEN 'roman'
+    WHEN regexp_matches(regexp_replace(prefix, '[.)]+$', ''), '^[0-9]+$') THEN 'arabic'
+    WHEN regexp_matches(regexp_replace(prefix, '[.)]+$', ''), '^[A-Za-z]$') THEN 'alpha'
+    WHEN regexp_matches(regexp_replace(prefix, '[.)]+$', ''), '^[0-9]+(\.[0-9]+)+$') THEN 'numeric' ELSE 'none' END AS format
+  FROM prefixed),
+intro AS (SELECT doc_id, min(idx) AS intro_idx FROM formed WHERE is_header AND regexp_matches(stripped, '(?i)introduction') GROUP BY 1),
+ends AS (SELECT doc_id, coalesce(min(idx) FILTER (WHERE is_header AND regexp_matches(stripped, '(?i)references')), max(idx) + 1) AS body_end FROM formed GROUP BY 1),
+docs AS (
+  SELECT e.doc_id, i.intro_idx, f.format AS intro_format, e.body_end FROM ends e LEFT JOIN intro i USING (doc_id)
+  LEFT JOIN formed f ON f.doc_id = i.doc_id AND f.idx = i.intro_idx),
+nodes AS (
+  SELECT f.doc_id, f.idx, f.prefix, f.stripped AS title, f.format, d.body_end, f.format = d.intro_format AS is_section
+  FROM formed f JOIN docs d USING (doc_id) WHERE f.is_header AND f.idx >= d.intro_idx AND f.idx < d.body_end),
+tops AS (SELECT doc_id, idx, row_number() OVER (PARTITION BY doc_id ORDER BY idx) AS sec_no, lead(idx) OVER (PARTITION BY doc_id ORDER BY idx) AS next_top, title AS section, prefix AS sec_prefix FROM nodes WHERE is_section),
+placed AS (
+  SELECT n.*, t.sec_no, t.idx AS top_idx, t.next_top, t.section, t.sec_prefix FROM nodes n JOIN tops t
+  ON n.doc_id = t.doc_id AND n.idx >= t.idx AND (t.next_top IS NULL OR n.idx < t.next_top)),
+secs AS (
+  SELECT *, CASE WHEN is_section THEN 0 ELSE row_number() OVER (PARTITION BY doc_id, sec_no, is_section ORDER BY idx) END AS sub_no,
+    lead(idx) OVER (PARTITION BY doc_id ORDER BY idx) AS next_node FROM placed),
+sections AS (
+  SELECT *, CASE WHEN sub_no > 0 THEN sec_no || '.' || sub_no ELSE CAST(sec_no AS VARCHAR) END AS sec_id,
+    CASE WHEN is_section THEN coalesce(next_top, body_end) - 1 ELSE coalesce(next_node, body_end) - 1 END AS region_end,
+    coalesce(next_node, body_end) - 1 AS own_end FROM secs),
+stops AS (
+  SELECT s.doc_id, s.idx AS node_idx, min(f.idx) AS stop FROM sections s JOIN formed f
+  ON f.doc_id = s.doc_id AND f.idx > s.idx AND f.idx <= s.own_end AND f.text_level = 1 GROUP BY 1, 2),
+own AS (
+  SELECT f.*, s.sec_id, s.sec_no, s.sub_no, s.idx AS node_idx FROM sections s JOIN formed f ON f.doc_id = s.doc_id AND f.idx > s.idx AND f.idx <= s.own_end
+  LEFT JOIN stops t ON t.doc_id = s.doc_id AND t.node_idx = s.idx WHERE t.stop IS NULL OR f.idx < t.stop),
+paras AS (
+  SELECT doc_id, sec_id, sec_no, sub_no, node_idx, idx, stripped AS text, row_number() OVER (PARTITION BY doc_id, node_idx ORDER BY idx) AS para_no
+  FROM own WHERE starts_with(type, 'text') AND stripped <> ''),
+named AS (SELECT *, sec_id || '_p' || para_no AS para_id FROM paras),
+eq_rows AS (
+  SELECT o.doc_id, o.sec_id, o.node_idx, o.idx, o.stripped, (SELECT max(p.idx) FROM named p WHERE p.doc_id = o.doc_id AND p.idx < o.idx) AS para_idx
+  FROM own o WHERE starts_with(o.type, 'equation')),
+eqs AS (
+  SELECT e.doc_id, p.para_id || '_eq' || (row_number() OVER (PARTITION BY e.doc_id, e.node_idx ORDER BY e.idx) - 1) AS eq_id, p.para_id, e.idx, e.stripped AS raw_latex
+  FROM eq_rows e LEFT JOIN named p ON p.doc_id = e.doc_id AND p.idx = e.para_idx WHERE e.stripped <> ''),
+spoken AS (
+  SELECT o.doc_id, o.sec_id, o.node_idx, o.idx, coalesce(starts_with(o.type, 'text'), false) AS is_text, o.stripped FROM own o),
+compat AS (
+  SELECT s.doc_id, s.sec_id, s.idx, (SELECT arg_max(t.stripped, t.idx) FROM spoken t WHERE t.is_text AND t.doc_id = s.doc_id AND t.node_idx = s.node_idx AND t.idx <= s.idx) AS text
+  FROM spoken s WHERE NOT s.is_text OR s.stripped <> '')
+"""
+
+
+def _captioned(kind: str, captions: str, extra: str, name: str, bounded: bool) -> str:
+    short = name[:3]
+    return (
+        OUTLINE
+        + f"SELECT f.doc_id, '{name}' || row_number() OVER (PARTITION BY f.doc_id ORDER BY f.idx) AS {short}_id, row_number() OVER (PARTITION BY f.doc_id ORDER BY f.idx) AS {short}_num, f.idx,"
+        + f" CASE WHEN len(f.{captions}) > 0 THEN f.{captions}[1] ELSE '' END AS caption, f.{extra} FROM formed f JOIN docs d USING (doc_id)"
+        + f" WHERE f.type = '{kind}' AND d.intro_idx IS NOT NULL" + (" AND f.idx < d.body_end" if bounded else "")
+    )
+
+
+_BARE = r"regexp_replace(x, '\\[a-zA-Z]+|[{}]', '', 'g')"
+_CLEANED = f"replace(regexp_replace({strip(_BARE)}, '{WS}+', ' ', 'g'), '__', '_')"
+_FORMULA = (
+    "SELECT doc_id, para_id, unnest(c) AS f, generate_subscripts(c, 1) - 1 AS n FROM (SELECT doc_id, para_id, list_filter("
+    + rf"list_transform(regexp_extract_all(text, '\$([^$]+)\$', 1), lambda x: {{'cleaned': {_CLEANED}, 'raw': '$' || x || '$'}}), lambda y: y.cleaned <> '') AS c FROM named)"
+)
+
+_REFS = "WITH refs AS (SELECT DISTINCT ref_key, raw_text FROM ref_records WHERE raw_text IS NOT NULL)"
+_NO_FORMULA = r"regexp_replace(regexp_replace(raw_text, '\\\$.*?\\\$', '', 'g'), '" + WS + "+', ' ', 'g')"
+_AUTHORS = r"""string_split_regex(regexp_extract(raw_text, '^([^\n\r]*?),\s*"', 1), ',\s+and\s+| and |, ')"""
+
+STRUCTURE = {
+    "headers": OUTLINE + "SELECT doc_id, idx, stripped AS title, prefix, format FROM formed WHERE is_header",
+    "format_histogram": OUTLINE + "SELECT format, count(*) AS n FROM formed WHERE is_header GROUP BY 1",
+    "level_of_format": OUTLINE + "SELECT doc_id, idx, CASE WHEN format IN ('alpha', 'numeric') THEN 'subsection' ELSE 'section' END AS level FROM formed WHERE is_header",
+    "document_bounds": OUTLINE + "SELECT doc_id, intro_idx, intro_format, body_end FROM docs",
+    "docs_without_intro": OUTLINE + "SELECT doc_id FROM docs WHERE intro_idx IS NULL",
+    "sections": OUTLINE + "SELECT doc_id, sec_id, sec_no, sub_no, idx, prefix, title, format, CASE WHEN is_section THEN 'section' ELSE 'subsection' END AS level, idx AS region_start, region_end FROM sections",
+    "depth_labels": OUTLINE + "SELECT CAST(sub_no > 0 AS INT) AS depth, CASE WHEN sub_no > 0 THEN 'subsection' ELSE 'section' END AS label, count(*) AS n FROM sections GROUP BY 1, 2",
+    "paragraphs": OUTLINE + "SELECT doc_id, para_id, sec_id, para_no, idx, text FROM named",
+    "paragraphs_ordered": OUTLINE + "SELECT doc_id, para_id, row_number() OVER (PARTITION BY doc_id ORDER BY sec_no, sub_no, para_no) AS rank FROM named",
+    "para_per_section": OUTLINE + "SELECT doc_id, sec_id, count(*) AS n_paragraphs, CAST(sum(length(text)) AS BIGINT) AS n_chars FROM named GROUP BY 1, 2",
+    "equations": OUTLINE + "SELECT doc_id, eq_id, para_id, idx, raw_latex FROM eqs",
+    "equations_ordered": OUTLINE + "SELECT doc_id, eq_id, idx, row_number() OVER (PARTITION BY doc_id ORDER BY eq_id, idx) AS rank FROM eqs WHERE eq_id IS NOT NULL",
+    "document_errors": OUTLINE
+    + "SELECT doc_id, CASE WHEN intro_idx IS NULL THEN 'NO_INTRODUCTION' WHEN doc_id IN (SELECT doc_id FROM eq_rows WHERE para_idx IS NULL) THEN 'EQ_BEFORE_PARA' END AS error_code,"
+    + " CASE WHEN intro_idx IS NULL THEN 'NO_INTRODUCTION' WHEN doc_id IN (SELECT doc_id FROM compat WHERE text IS NULL) THEN 'NONTEXT_BEFORE_TEXT' END AS tree_error_code FROM docs",
+    "figures": _captioned("image", "img_caption", "img_path", "fig", True),
+    "tables": _captioned("table", "table_caption", "table_body", "tab", True),
+    "figures_unbounded": _captioned("image", "img_caption", "img_path", "fig", False),
+    "tables_unbounded": _captioned("table", "table_caption", "table_body", "table", False),
+    "formulae": OUTLINE + f"SELECT doc_id, para_id, CAST(n AS INT) AS n, f.cleaned AS cleaned, f.raw AS raw FROM ({_FORMULA})",
+    "citations": OUTLINE + r"SELECT doc_id, number, count(*) AS n FROM (SELECT doc_id, unnest(regexp_extract_all(text, '\[(\d+)\]', 1)) AS number FROM named) GROUP BY 1, 2",
+    "region_content_compat": OUTLINE + "SELECT doc_id, sec_id, idx, text FROM compat",
+    "region_content_text": OUTLINE + "SELECT doc_id, sec_id, idx, stripped AS text FROM spoken WHERE is_text AND stripped <> ''",
+    "body_text_rows": OUTLINE
+    + "SELECT k.doc_id, k.section, k.subsection, row_number() OVER (PARTITION BY c.doc_id, c.sec_id ORDER BY c.idx) - 1 AS n, c.text FROM compat c JOIN ("
+    + "SELECT doc_id, sec_id, section, subsection FROM (SELECT doc_id, sec_id, sec_no, sub_no, section, CASE WHEN is_section THEN NULL ELSE sec_prefix || ' - ' || title END AS subsection,"
+    + " max(sec_no) OVER (PARTITION BY doc_id, section) AS last_sec,"
+    + " max(sub_no) OVER (PARTITION BY doc_id, sec_no, CASE WHEN is_section THEN NULL ELSE title END) AS last_sub FROM sections) WHERE sec_no = last_sec AND sub_no = last_sub) k USING (doc_id, sec_id)",
+    "reference_details": _REFS
+    + f" SELECT ref_key, array_to_string({_AUTHORS}, '; ') AS authors, nullif(regexp_extract(raw_text, '\"([^\"]+)\"', 1), '') AS title, regexp_extract(raw_text, '<em>(.*?)</em>', 1) AS source,"
+    + r" regexp_extract(raw_text, '\b(19|20)\d{2}\b') AS year, nullif(regexp_extract(raw_text, '(?i)vol\.\s*(\d+)', 1), '') AS volume, nullif(regexp_extract(raw_text, '(?i)no\.\s*(\d+)', 1), '') AS issue,"
+    + r" coalesce(nullif(regexp_extract(raw_text, '(?i)pp\.\s*(\d+-\d+)', 1), ''), nullif(regexp_extract(raw_text, '(?i)pp\.\s*(\d+)', 1), '')) AS pages FROM refs",
+    "reference_authors": _REFS + f" SELECT ref_key, CAST(generate_subscripts(a, 1) - 1 AS INT) AS n, unnest(a) AS author FROM (SELECT ref_key, {_AUTHORS} AS a FROM refs)",
+    "reference_text": _REFS + f" SELECT ref_key, {strip(_NO_FORMULA)} AS clean FROM refs",
+}
+
 
 def oracle_sql() -> dict[str, str]:
-    return dict(P1)
+    return P1 | STRUCTURE

@@ -5,10 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from vellumine.functions import headings as H
+from vellumine.functions import references as R
+from vellumine.functions import text as X
 from vellumine.operators import layout_tree
+from vellumine.operators import structure as S
 from vellumine.sources.tables import table
 
+Query = Callable[[SparkSession, str], DataFrame]
+
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layout_tree.layout_places(table(spark, sf_dir, "middle_json", ["rec_id", "pdf_info"]))
@@ -22,8 +29,127 @@ def p1_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layout_tree.layout_blocks(table(spark, sf_dir, "middle_json", ["rec_id", "pdf_info"]))
 
 
-_P1 = [p1_found, p1_spans, p1_blocks]
+def _items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.items(table(spark, sf_dir, "content_list"))
+
+
+def _outline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.outlined(_items(spark, sf_dir))
+
+
+def headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.headers(_items(spark, sf_dir))
+
+
+def format_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return headers(spark, sf_dir).groupBy("format").agg(F.count("*").alias("n"))
+
+
+def level_of_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return headers(spark, sf_dir).select("doc_id", "idx", H.level_of_format(F.col("format")).alias("level"))
+
+
+def document_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.bounds(_outline(spark, sf_dir))
+
+
+def docs_without_intro(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return document_bounds(spark, sf_dir).filter("intro_idx is null").select("doc_id")
+
+
+def sections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.sections(_outline(spark, sf_dir))
+
+
+def depth_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    depth = F.when(F.col("sub_no") > 0, 1).otherwise(0)
+    return sections(spark, sf_dir).groupBy(depth.alias("depth"), H.depth_label(depth).alias("label")).agg(F.count("*").alias("n"))
+
+
+def paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.paragraphs(_outline(spark, sf_dir))
+
+
+def paragraphs_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.paragraph_order(paragraphs(spark, sf_dir)).select("doc_id", "para_id", "rank")
+
+
+def para_per_section(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return paragraphs(spark, sf_dir).groupBy("doc_id", "sec_id").agg(F.count("*").alias("n_paragraphs"), F.sum(F.length("text")).alias("n_chars"))
+
+
+def equations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.equations(_outline(spark, sf_dir))
+
+
+def equations_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.equation_order(equations(spark, sf_dir).filter("eq_id is not null")).select("doc_id", "eq_id", "idx", "rank")
+
+
+def document_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.errors(_outline(spark, sf_dir))
+
+
+def figures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.figures(_outline(spark, sf_dir))
+
+
+def tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.tables(_outline(spark, sf_dir))
+
+
+def figures_unbounded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.figures(_outline(spark, sf_dir), bounded=False)
+
+
+def tables_unbounded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.tables(_outline(spark, sf_dir), bounded=False)
+
+
+def formulae(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.formulae(paragraphs(spark, sf_dir))
+
+
+def citations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cited = paragraphs(spark, sf_dir).select("doc_id", F.explode(X.citations(F.col("text"))).alias("number"))
+    return cited.groupBy("doc_id", "number").agg(F.count("*").alias("n"))
+
+
+def region_content_compat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.region_content(_outline(spark, sf_dir))
+
+
+def region_content_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.region_content(_outline(spark, sf_dir), compat=False)
+
+
+def body_text_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.body_text(_outline(spark, sf_dir))
+
+
+def reference_details(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = table(spark, sf_dir, "ref_records", ["ref_key", "raw_text"]).filter("raw_text is not null").distinct()
+    parsed = raw.select("ref_key", R.details(F.col("raw_text")).alias("d"))
+    return parsed.select("ref_key", F.array_join("d.authors", "; ").alias("authors"), "d.title", "d.source", "d.year", "d.volume", "d.issue", "d.pages")
+
+
+def reference_authors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = table(spark, sf_dir, "ref_records", ["ref_key", "raw_text"]).filter("raw_text is not null").distinct()
+    return raw.select("ref_key", F.posexplode(R.authors(F.col("raw_text"))).alias("n", "author"))
+
+
+def reference_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = table(spark, sf_dir, "ref_records", ["ref_key", "raw_text"]).filter("raw_text is not null").distinct()
+    return raw.select("ref_key", X.reference_text(F.col("raw_text")).alias("clean"))
+
+
+_STRUCTURE: list[Query] = [
+    headers, format_histogram, level_of_format, document_bounds, docs_without_intro, sections, depth_labels, paragraphs, paragraphs_ordered, para_per_section,
+    equations, equations_ordered, document_errors, figures, tables, figures_unbounded, tables_unbounded, formulae, citations,
+    region_content_compat, region_content_text, body_text_rows, reference_details, reference_authors, reference_text,
+]
+_P1: list[Query] = [p1_found, p1_spans, p1_blocks]
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in _P1}
+def queries() -> dict[str, Query]:
+    return {f.__name__: f for f in [*_P1, *_STRUCTURE]}

@@ -159,5 +159,155 @@ STRUCTURE = {
 }
 
 
+
+def _flat(x: str) -> str:
+    """Blanks collapsed and off both ends; an empty text is null."""
+    return f"nullif({strip(f'regexp_replace({x}, {chr(39)}{WS}+{chr(39)}, {chr(39)} {chr(39)}, {chr(39)}g{chr(39)})')}, '')"
+
+
+_LATEST = "latest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY paper_id ORDER BY ingested_at DESC NULLS LAST) AS nth FROM papers WHERE paper_id IS NOT NULL) WHERE nth = 1)"
+
+
+def _names(of: str, by: str) -> str:
+    return f"array_to_string(list_filter(list_transform({of}, lambda a: {_flat('a')}), lambda b: b IS NOT NULL), '{by}')"
+
+
+_HEADER = (
+    "SELECT paper_id AS doc_id, nullif(" + _names("string_split(authors, ', ')", ", ") + f", '') AS authors, {strip('title')} AS title, {strip('doi')} AS doi,"
+    f" {strip('publication_date')} AS \"displayPublicationDate\", {strip('publisher')} AS publisher,"
+    " CASE WHEN conf_loc <> '' THEN 'Conferences' ELSE 'Journals' END AS \"contentTypeDisplay\", CASE WHEN conf_loc <> '' THEN 'IEEE Conference' ELSE 'IEEE Journal' END AS \"subType\","
+    f" {strip('publication_title')} AS \"publicationTitle\", {strip('conf_loc')} AS \"confLoc\", volume, start_page AS \"startPage\", end_page AS \"endPage\", {strip('publication_date')} AS \"publicationDate\","
+    f" CASE WHEN publication_date IS NOT NULL THEN left(coalesce(nullif(publication_year, ''), publication_date), 4) END AS \"publicationYear\", {strip('abstract_text')} AS abstract FROM latest"
+)
+
+_BLOCKS = """
+pages AS (SELECT rec_id, unnest(pdf_info) AS page, generate_subscripts(pdf_info, 1) - 1 AS page_no FROM (SELECT DISTINCT rec_id, pdf_info FROM middle_json)),
+every AS (SELECT rec_id, page_no, unnest(page.preproc_blocks) AS b, generate_subscripts(page.preproc_blocks, 1) - 1 AS block_no FROM pages),
+subs AS (SELECT rec_id, page_no, block_no, unnest(b.blocks) AS s, generate_subscripts(b.blocks, 1) - 1 AS sub_no FROM every WHERE b.type = 'image'),
+"""
+
+
+def _whole(b: str) -> str:
+    return f"len({b}.bbox) >= 4 AND {b}.bbox[1] IS NOT NULL AND {b}.bbox[2] IS NOT NULL AND {b}.bbox[3] IS NOT NULL AND {b}.bbox[4] IS NOT NULL"
+
+
+def _said(b: str) -> str:
+    return f"coalesce(array_to_string(flatten(list_transform(list_filter({b}.lines, lambda ln: ln IS NOT NULL AND ln.spans IS NOT NULL), lambda ln: list_transform(ln.spans, lambda sp: sp.content))), ' '), '')"
+
+
+def _far(wx: int) -> str:
+    dx = "((c.bbox[1] + c.bbox[3]) / 2 - (t.bbox[1] + t.bbox[3]) / 2)"
+    dy = "((c.bbox[2] + c.bbox[4]) / 2 - (t.bbox[2] + t.bbox[4]) / 2)"
+    return f"sqrt({wx} * {dx} * {dx} + {dy} * {dy})"
+
+
+def _image_captions(begins: str) -> str:
+    return (
+        "WITH" + _BLOCKS
+        + f"raw AS (SELECT rec_id, page_no, 0 AS kind, block_no, sub_no, s.bbox AS bbox, {_said('s')} AS caption FROM subs WHERE s.type = 'image_caption' AND {_whole('s')}"
+        + f" UNION ALL SELECT rec_id, page_no, 1, block_no, 0, b.bbox, {_said('b')} FROM every WHERE b.type = 'image_caption' AND {_whole('b')}),"
+        + f" c AS (SELECT *, row_number() OVER (PARTITION BY rec_id, page_no ORDER BY kind, block_no, sub_no) - 1 AS caption_no FROM raw WHERE starts_with(caption, '{begins}')),"
+        + f" t AS (SELECT rec_id, page_no, block_no, sub_no, s.bbox AS bbox, s.lines[1].spans[1].image_path AS image_path FROM subs WHERE s.type = 'image_body' AND {_whole('s')})"
+        + " SELECT DISTINCT rec_id, page_no, CAST(caption_no AS INT) AS caption_no, caption, image_path FROM (SELECT c.rec_id, c.page_no, c.caption_no, c.caption, t.image_path,"
+        + f" row_number() OVER (PARTITION BY c.rec_id, c.page_no, c.caption_no ORDER BY {_far(5)}, t.block_no, t.sub_no) AS nth FROM c JOIN t ON c.rec_id = t.rec_id AND c.page_no = t.page_no AND t.bbox[1] < c.bbox[1]) WHERE nth = 1"
+    )
+
+
+_LINES = (
+    "WITH" + _BLOCKS
+    + f"blocks AS (SELECT rec_id, page_no, block_no, b.bbox[1] AS x0, b.bbox[2] AS y0, b.bbox[3] AS x1, b.bbox[4] AS y1, b.lines AS lines FROM every WHERE {_whole('b')}),"
+    + " l AS (SELECT rec_id, page_no, block_no, unnest(lines) AS l, generate_subscripts(lines, 1) - 1 AS line_no FROM blocks),"
+    + f" lines AS (SELECT rec_id, page_no, block_no, line_no, l.bbox[1] AS x0, l.bbox[2] AS y0, l.bbox[3] AS x1, l.bbox[4] AS y1 FROM l WHERE l IS NOT NULL AND {_whole('l')}),"
+    + " moved AS (SELECT rec_id, page_no, block_no * 1000 + line_no AS pdf_line, x0, x1, y0 + d AS y0, y1 + d AS y1 FROM (SELECT *, CASE WHEN line_no % 3 = 2 THEN (y1 - y0) * CAST(0.5 AS DOUBLE) ELSE CAST(1 AS DOUBLE) END AS d FROM lines)),"
+)
+
+
+def _iou(a: str, b: str) -> str:
+    common = f"greatest(0, least({a}.x1, {b}.x1) - greatest({a}.x0, {b}.x0)) * greatest(0, least({a}.y1, {b}.y1) - greatest({a}.y0, {b}.y0))"
+    return f"(CASE WHEN {common} = 0 THEN 0 ELSE {common} / (({a}.x1 - {a}.x0) * ({a}.y1 - {a}.y0) + ({b}.x1 - {b}.x0) * ({b}.y1 - {b}.y0) - {common}) END)"
+
+
+_BEST = (
+    _LINES
+    + f" rated AS (SELECT m.rec_id, m.page_no, m.pdf_line, b.block_no, {_iou('m', 'b')} AS score FROM moved m JOIN blocks b USING (rec_id, page_no)),"
+    + " best AS (SELECT rec_id, page_no, pdf_line, block_no, score FROM (SELECT *, row_number() OVER (PARTITION BY rec_id, page_no, pdf_line ORDER BY score DESC, block_no) AS nth FROM rated WHERE score >= CAST(0.5 AS DOUBLE)) WHERE nth = 1)"
+)
+
+_PUT = rf"""
+WITH put AS (
+  SELECT DISTINCT paper_id AS doc_id, idx, type, text_level, page_idx, img_path, img_caption, table_caption, table_body,
+    CASE WHEN idx % 10 = 5 AND type = 'text' AND coalesce(text_level, 0) = 0 THEN '© 2011 IEEE. Manuscript received, no. ' || idx ELSE text END AS text FROM content_list),
+marked AS (
+  SELECT *, coalesce(regexp_matches(text, '(?i)Manuscript received|ieee copyright|digital object identifier|This material is based on research sponsored|the associate editor|Authorized licensed use')
+    OR regexp_matches(text, 'ISBN\s+\d{{1,5}}-\d{{1,7}}-\d{{1,7}}-\d{{1,7}}-\d{{1}}') OR regexp_matches(text, '(?i)©\s*\d{{4}}\s*IEEE') OR regexp_matches(text, '(?i)\b\d{{4}}\b\s*IEEE'), false) AS bad FROM put)
+"""
+_ISOLATED = (
+    _PUT
+    + f", raw AS (SELECT doc_id, idx, bad, coalesce(text, '') AS raw, CASE WHEN contains(text, chr(10)) THEN regexp_replace(replace(text, chr(10), ''), '{WS}+', ' ', 'g') ELSE coalesce(text, '') END AS flat"
+    + " FROM marked WHERE type = 'text' AND coalesce(text_level, 0) = 0),"
+    + " seen AS (SELECT *, lag(bad) OVER w AS bad1, lag(flat, 2) OVER w AS flat2, lead(bad) OVER w AS next_bad, lead(raw, 2) OVER w AS raw2 FROM raw WINDOW w AS (PARTITION BY doc_id ORDER BY idx))"
+    + " SELECT doc_id, idx, CASE WHEN next_bad AND NOT ends_with(flat, '.') AND raw2 IS NOT NULL THEN flat || ' ' || raw2 ELSE flat END AS text FROM seen"
+    + " WHERE NOT bad AND NOT coalesce(bad1 AND flat2 IS NOT NULL AND NOT ends_with(flat2, '.'), false)"
+)
+
+_TEXTS = "WITH t AS (SELECT DISTINCT item_id, type, text FROM content_list WHERE text IS NOT NULL)"
+_FINE = "fine AS (SELECT doc_id FROM docs WHERE intro_idx IS NOT NULL AND doc_id NOT IN (SELECT doc_id FROM eq_rows WHERE para_idx IS NULL))"
+_WHOLE = (
+    OUTLINE.rstrip() + ", " + _FINE + ", " + _LATEST
+    + ", refs AS (SELECT paper_id AS doc_id, count(*) AS n FROM (SELECT DISTINCT * FROM ref_records) GROUP BY 1),"
+    + " n_paras AS (SELECT doc_id, count(*) AS n FROM named GROUP BY 1),"
+    + f" whole AS (SELECT l.paper_id AS doc_id, l.file_name, CASE WHEN f.doc_id IS NULL THEN 'failed' WHEN r.doc_id IS NOT NULL THEN 'ok' ELSE 'partial' END AS status,"
+    + f" CASE WHEN r.doc_id IS NOT NULL THEN {strip('l.title')} END AS title, CASE WHEN r.doc_id IS NOT NULL THEN {strip('l.doi')} END AS doi, coalesce(r.n, 0) AS n_refs,"
+    + " CASE WHEN f.doc_id IS NULL THEN 0 ELSE coalesce(p.n, 0) END AS n_paragraphs, intro_idx, d.doc_id IS NOT NULL AS has_items FROM latest l"
+    + " LEFT JOIN fine f ON f.doc_id = l.paper_id LEFT JOIN refs r ON r.doc_id = l.paper_id LEFT JOIN n_paras p ON p.doc_id = l.paper_id LEFT JOIN docs d ON d.doc_id = l.paper_id),"
+    + " report AS (SELECT doc_id, file_name, CASE WHEN status = 'failed' THEN 'parse' ELSE 'metadata' END AS stage,"
+    + " CASE WHEN status = 'partial' THEN 'NO_METADATA' WHEN NOT has_items THEN 'NO_ITEMS' WHEN intro_idx IS NULL THEN 'NO_INTRODUCTION' ELSE 'EQ_BEFORE_PARA' END AS error_code FROM whole WHERE status <> 'ok')"
+)
+
+
+def _count(of: str, where: str = "") -> str:
+    return f"(SELECT count(*) FROM {of} x WHERE x.doc_id = fine.doc_id{where})"
+
+
+OTHER = {
+    "tei_header": "WITH " + _LATEST + " " + _HEADER,
+    "content_types": "WITH " + _LATEST + f', h AS ({_HEADER}) SELECT "contentTypeDisplay", "subType", count(*) AS n FROM h GROUP BY 1, 2',
+    "tei_references": "WITH r AS (SELECT DISTINCT * FROM ref_records) SELECT paper_id AS doc_id, 'ref' || row_number() OVER (PARTITION BY paper_id ORDER BY ref_key) AS ref_id,"
+    + f" row_number() OVER (PARTITION BY paper_id ORDER BY ref_key) AS n, nullif({strip('title')}, '') AS title, nullif(" + _names("authors", "; ") + f", '') AS authors, nullif({strip('source')}, '') AS source,"
+    + " volume, issue_no, CASE WHEN split_part(pages, '-', 1) <> '' AND split_part(pages, '-', 2) <> '' THEN split_part(pages, '-', 1) || '-' || split_part(pages, '-', 2) END AS pages,"
+    + f" left(publication_year, 4) AS publication_year, nullif({strip('raw_text')}, '') AS raw_text FROM r",
+    "caption_images": _image_captions("Fig"),
+    "caption_images_any": _image_captions(""),
+    "caption_tables": "WITH" + _BLOCKS
+    + f"c AS (SELECT rec_id, page_no, b.bbox AS bbox, {_said('b')} AS caption, row_number() OVER (PARTITION BY rec_id, page_no ORDER BY block_no) - 1 AS caption_no FROM every WHERE b.type = 'table_caption' AND {_whole('b')}),"
+    + f" t AS (SELECT rec_id, page_no, block_no, b.bbox AS bbox FROM every WHERE b.type = 'table' AND {_whole('b')})"
+    + " SELECT DISTINCT rec_id, page_no, CAST(caption_no AS INT) AS caption_no, caption, x0, y0, x1, y1 FROM (SELECT c.rec_id, c.page_no, c.caption_no, c.caption, t.bbox[1] AS x0, t.bbox[2] AS y0, t.bbox[3] AS x1, t.bbox[4] AS y1,"
+    + f" row_number() OVER (PARTITION BY c.rec_id, c.page_no, c.caption_no ORDER BY {_far(3)}, t.block_no) AS nth FROM c JOIN t ON c.rec_id = t.rec_id AND c.page_no = t.page_no) WHERE nth = 1",
+    "best_blocks": _BEST + " SELECT rec_id, page_no, CAST(pdf_line AS INT) AS pdf_line, block_no, round(score, 6) AS score FROM best",
+    "line_actions": _BEST
+    + f", hits AS (SELECT g.rec_id, g.page_no, g.pdf_line, g.block_no, CAST(sum(CASE WHEN l.rec_id IS NOT NULL AND {_iou('m', 'l')} >= CAST(0.5 AS DOUBLE) THEN 1 ELSE 0 END) AS BIGINT) AS n_lines FROM best g JOIN moved m USING (rec_id, page_no, pdf_line)"
+    + " LEFT JOIN lines l ON l.rec_id = g.rec_id AND l.page_no = g.page_no AND l.block_no = g.block_no GROUP BY 1, 2, 3, 4)"
+    + " SELECT *, CASE n_lines WHEN 0 THEN 'insert' WHEN 1 THEN 'overwrite' ELSE 'merge' END AS action FROM hits",
+    "bad_entries": _PUT + " SELECT doc_id, idx FROM marked WHERE bad",
+    "cleaned_isolated": _ISOLATED,
+    "plain_blanks": _TEXTS + r" SELECT item_id, regexp_replace(text, '\p{Zs}', ' ', 'g') AS plain FROM t",
+    "html_to_marks": _TEXTS
+    + r""" SELECT item_id, regexp_replace(regexp_replace(regexp_replace('H<sub>2</sub>O <sup class=''x''>+</sup><b>' || replace(text, chr(10), ' ') || '</b>', '<sub[^>]*>(.*?)</sub>', '_\1', 'g'), '<sup[^>]*>(.*?)</sup>', '^\1', 'g'), '<[^>]+>', '', 'g') AS marked FROM t""",
+    "unfold_malformed": _TEXTS
+    + r" SELECT item_id, replace(replace(replace(replace(replace(replace(regexp_replace(replace('a \over b \tag{(3)} & ' || text, '\over', '/'), '\\(hbox|tag)\{\(\d+\)\}', '', 'g'), '\$', '$'), '\cr', chr(10)), '\ll', '<<'), '\eqalignno{', ''), '}&', ')'), '&', '') AS unfolded FROM t WHERE type = 'equation'",
+    "compact_latex": _TEXTS + rf" SELECT item_id, regexp_replace(replace(replace(text, '\\', '\'), '$$', '$'), '{WS}+', '', 'g') AS compact FROM t WHERE type = 'equation'",
+    "flat_schema_counts": OUTLINE.rstrip() + ", " + _FINE
+    + " SELECT doc_id, " + _count("sections") + " AS n_sections, " + _count("named") + " AS n_paragraphs, " + _count("eqs") + " AS n_equations,"
+    + " (SELECT count(*) FROM formed x JOIN docs d USING (doc_id) WHERE x.doc_id = fine.doc_id AND x.type = 'image' AND x.idx < d.body_end) AS n_figures,"
+    + " (SELECT count(*) FROM formed x JOIN docs d USING (doc_id) WHERE x.doc_id = fine.doc_id AND x.type = 'table' AND x.idx < d.body_end) AS n_tables FROM fine",
+    "document_status": _WHOLE + " SELECT doc_id, status FROM whole",
+    "merged_documents": _WHOLE + " SELECT doc_id, status, title, doi, n_refs, n_paragraphs FROM whole",
+    "failure_report": _WHOLE + " SELECT doc_id, file_name, stage, error_code FROM report",
+    "retry_list": _WHOLE + " SELECT doc_id, file_name FROM report WHERE stage = 'parse'",
+    "figures_and_tables": "SELECT doc_id, fig_id AS name, caption, fig_num AS num, img_path AS content FROM (" + _captioned("image", "img_caption", "img_path", "fig", False) + ")"
+    + " UNION ALL SELECT doc_id, tab_id, caption, tab_num, table_body FROM (" + _captioned("table", "table_caption", "table_body", "table", False) + ")",
+}
+
+
 def oracle_sql() -> dict[str, str]:
-    return P1 | STRUCTURE
+    return P1 | STRUCTURE | OTHER

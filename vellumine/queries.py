@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from vellumine.functions import headings as H
 from vellumine.functions import references as R
 from vellumine.functions import text as X
-from vellumine.operators import layout_tree
+from vellumine.functions import latex
+from vellumine.operators import captions, cleaning, layout_tree, reconcile, tei
 from vellumine.operators import structure as S
+from vellumine.plans import pipeline, tree
 from vellumine.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -143,13 +145,183 @@ def reference_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw.select("ref_key", X.reference_text(F.col("raw_text")).alias("clean"))
 
 
+def _papers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pipeline.latest(table(spark, sf_dir, "papers"))
+
+
+def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``doc_id, tei_header, tei_references`` made from papers and ref_records."""
+    papers = _papers(spark, sf_dir)
+    refs = table(spark, sf_dir, "ref_records").distinct()
+    return papers.select(F.col("paper_id").alias("doc_id"), tei.header_xml(papers).alias("tei_header")).join(tei.reference_xml(refs), "doc_id", "left")
+
+
+def _text_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "content_list", ["item_id", "type", "text"]).filter("text is not null").distinct()
+
+
+def tei_header(spark: SparkSession, sf_dir: str) -> DataFrame:
+    papers = _papers(spark, sf_dir)
+    return tei.headers_of(papers.select(F.col("paper_id").alias("doc_id"), tei.header_xml(papers).alias("tei_header")))
+
+
+def content_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tei_header(spark, sf_dir).groupBy("contentTypeDisplay", "subType").agg(F.count("*").alias("n"))
+
+
+def tei_references(spark: SparkSession, sf_dir: str) -> DataFrame:
+    refs = tei.references_of(tei.reference_xml(table(spark, sf_dir, "ref_records").distinct()))
+    return refs.withColumn("authors", F.array_join("authors", "; "))
+
+
+def caption_images(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return captions.image_captions(table(spark, sf_dir, "middle_json", ["rec_id", "pdf_info"]))
+
+
+def caption_images_any(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same without a condition on the caption's beginning, which the captions of the test tables don't meet."""
+    return captions.image_captions(table(spark, sf_dir, "middle_json", ["rec_id", "pdf_info"]), begins="")
+
+
+def caption_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return captions.table_captions(table(spark, sf_dir, "middle_json", ["rec_id", "pdf_info"]))
+
+
+def _blocks_and_lines(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The layout's blocks and, as a PDF's lines, their own lines moved a little: each third one by half its height."""
+    blocks = reconcile.layout_blocks(table(spark, sf_dir, "middle_json", ["rec_id", "pdf_info"]))
+    lines = reconcile.layout_lines(blocks)
+    shift = F.when(F.col("line_no") % 3 == 2, (F.col("y1") - F.col("y0")) * 0.5).otherwise(1.0)
+    moved = lines.select("rec_id", "page_no", (F.col("block_no") * 1000 + F.col("line_no")).alias("pdf_line"), "x0", (F.col("y0") + shift).alias("y0"), "x1", (F.col("y1") + shift).alias("y1"), F.col("content").alias("text"))
+    return moved, blocks
+
+
+def best_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = reconcile.best_blocks(*_blocks_and_lines(spark, sf_dir))
+    return found.select("rec_id", "page_no", "pdf_line", "block_no", F.round("score", 6).alias("score"))
+
+
+def line_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reconcile.line_actions(*_blocks_and_lines(spark, sf_dir))
+
+
+def reconciled_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reconcile.reconciled(*_blocks_and_lines(spark, sf_dir))
+
+
+def bad_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _items(spark, sf_dir)
+    return cleaning.bad_entries(_with_boilerplate(rows))
+
+
+def _with_boilerplate(rows: DataFrame) -> DataFrame:
+    """The items with a publisher's line put in place of each text whose place ends in 5, since the tables have none."""
+    put = (F.col("idx") % 10 == 5) & (F.col("type") == "text") & (F.coalesce("text_level", F.lit(0)) == 0)
+    return rows.withColumn("text", F.when(put, F.concat(F.lit("© 2011 IEEE. Manuscript received, no. "), F.col("idx"))).otherwise(F.col("text")))
+
+
+def cleaned_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cleaning.cleaned(_with_boilerplate(_items(spark, sf_dir)))
+
+
+def cleaned_isolated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cleaning.cleaned_isolated(_with_boilerplate(_items(spark, sf_dir)))
+
+
+def plain_blanks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _text_rows(spark, sf_dir).select("item_id", X.plain_blanks(F.col("text")).alias("plain"))
+
+
+def html_to_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marked = F.concat(F.lit("H<sub>2</sub>O <sup class='x'>+</sup><b>"), F.replace("text", F.lit("\n"), F.lit(" ")), F.lit("</b>"))
+    return _text_rows(spark, sf_dir).select("item_id", X.html_to_marks(marked).alias("marked"))
+
+
+def unfold_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _text_rows(spark, sf_dir).filter("type = 'equation'").select("item_id", X.unfold_malformed(F.concat(F.lit(r"a \over b \tag{(3)} & "), "text")).alias("unfolded"))
+
+
+def restore_commands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _text_rows(spark, sf_dir).select("item_id", X.restore_commands(F.col("text")).alias("restored"))
+
+
+def math_to_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _text_rows(spark, sf_dir).filter("type = 'equation'").select("item_id", X.tidy_latex(X.math_to_text(F.col("text"))).alias("plain"))
+
+
+def compact_latex(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _text_rows(spark, sf_dir).filter("type = 'equation'").select("item_id", X.compact_latex(F.col("text")).alias("compact"))
+
+
+def squeeze_commands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _text_rows(spark, sf_dir).filter("type = 'equation'").select("item_id", X.squeeze_commands(F.col("text")).alias("squeezed"))
+
+
+def latex_to_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _text_rows(spark, sf_dir).filter("type = 'equation'").select("item_id", latex.latex_to_text(F.col("text")).alias("plain"))
+
+
+def cleaned_inline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _text_rows(spark, sf_dir).filter(F.instr("text", "$") > 0).select("item_id", latex.cleaned_inline(F.col("text")).alias("clean"))
+
+
+def flat_schema_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    flat = pipeline.flat_schema(_items(spark, sf_dir))
+    return flat.select("doc_id", *(F.size(c).cast("long").alias(f"n_{c}") for c in ("sections", "paragraphs", "equations", "figures", "tables")))
+
+
+def _merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pipeline.merged(_documents(spark, sf_dir), pipeline.flat_schema(_items(spark, sf_dir)))
+
+
+def document_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _merged(spark, sf_dir).select("doc_id", "status")
+
+
+def merged_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    whole = _merged(spark, sf_dir)
+    return whole.select("doc_id", "status", "header.title", "header.doi", F.coalesce(F.size("refs"), F.lit(0)).cast("long").alias("n_refs"), F.coalesce(F.size("paragraphs"), F.lit(0)).cast("long").alias("n_paragraphs"))
+
+
+def merged_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pipeline.as_json(_merged(spark, sf_dir))
+
+
+def _failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = _papers(spark, sf_dir).select(F.col("paper_id").alias("doc_id"), "file_name")
+    return pipeline.failures(_merged(spark, sf_dir), S.errors(_outline(spark, sf_dir)), names)
+
+
+def failure_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _failures(spark, sf_dir)
+
+
+def retry_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = _papers(spark, sf_dir).select(F.col("paper_id").alias("doc_id"), "file_name")
+    return pipeline.to_retry(names, _failures(spark, sf_dir))
+
+
+def body_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tree.body_tree(_outline(spark, sf_dir)).select("doc_id", F.to_json("body").alias("body"))
+
+
+def figures_and_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tree.figures_and_tables(_outline(spark, sf_dir))
+
+
 _STRUCTURE: list[Query] = [
     headers, format_histogram, level_of_format, document_bounds, docs_without_intro, sections, depth_labels, paragraphs, paragraphs_ordered, para_per_section,
     equations, equations_ordered, document_errors, figures, tables, figures_unbounded, tables_unbounded, formulae, citations,
     region_content_compat, region_content_text, body_text_rows, reference_details, reference_authors, reference_text,
 ]
+_OTHER: list[Query] = [
+    tei_header, content_types, tei_references, caption_images, caption_images_any, caption_tables, best_blocks, line_actions, reconciled_lines,
+    bad_entries, cleaned_documents, cleaned_isolated, plain_blanks, html_to_marks, unfold_malformed, restore_commands, math_to_text, compact_latex,
+    squeeze_commands, latex_to_text, cleaned_inline, flat_schema_counts, document_status, merged_documents, merged_json, failure_report, retry_list,
+    body_tree, figures_and_tables,
+]
 _P1: list[Query] = [p1_found, p1_spans, p1_blocks]
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in [*_P1, *_STRUCTURE]}
+    return {f.__name__: f for f in [*_P1, *_STRUCTURE, *_OTHER]}

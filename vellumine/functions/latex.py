@@ -82,13 +82,12 @@ def cleaned_inline(text: Column) -> Column:
 
 
 def latex_to_text(text: Column) -> Column:
-    """Malformed LaTeX unfolded, tags marked, commands as characters, math spelt out, the rest tidied.
+    """Malformed LaTeX unfolded, tags marked, commands as characters, math that is left spelt out, the rest tidied.
 
     All steps but that of the commands stay in the JVM.
     """
-    text = X.html_to_marks(X.normalise_malformed(text))
-    text = X.math_to_text(text)
-    return X.tidy_latex(_by_batch(lambda t: to_unicode(t, keep_braces=True))(text))
+    text = _by_batch(lambda t: to_unicode(t, keep_braces=True))(X.html_to_marks(X.normalise_malformed(text)))
+    return X.tidy_latex(X.math_to_text(text))
 
 
 def with_plain_text(rows: DataFrame, column: str, out: str = "plain") -> DataFrame:

@@ -14,9 +14,18 @@ from vellumine.functions import headings as H
 from vellumine.functions import text as X
 
 ITEM = ["type", "text", "text_level", "page_idx", "img_path", "img_caption", "table_caption", "table_body"]
-_DOC = W.partitionBy("doc_id")
-_READ = _DOC.orderBy("idx")
-_SO_FAR = _READ.rowsBetween(W.unboundedPreceding, W.currentRow)
+
+
+def _doc():
+    return W.partitionBy("doc_id")
+
+
+def _read():
+    return _doc().orderBy("idx")
+
+
+def _so_far():
+    return _read().rowsBetween(W.unboundedPreceding, W.currentRow)
 
 
 def items(content: DataFrame, doc: str = "paper_id") -> DataFrame:
@@ -37,13 +46,13 @@ def outlined(rows: DataFrame) -> DataFrame:
     """
     base = rows.withColumns({"stripped": X.strip(F.coalesce("text", F.lit(""))), "is_header": F.coalesce((F.col("text_level") == 1) & F.col("type").contains("text"), F.lit(False))})
     base = base.withColumn("prefix", H.prefix(F.col("stripped"))).withColumn("format", H.prefix_format(F.col("prefix")))
-    intro = F.min(F.when(F.col("is_header") & F.col("stripped").rlike("(?i)introduction"), F.struct("idx", "format"))).over(_DOC)
-    end = F.min(F.when(F.col("is_header") & F.col("stripped").rlike("(?i)references"), F.col("idx"))).over(_DOC)
-    base = base.withColumns({"intro": intro, "body_end": F.coalesce(end, F.max("idx").over(_DOC) + 1)})
+    intro = F.min(F.when(F.col("is_header") & F.col("stripped").rlike("(?i)introduction"), F.struct("idx", "format"))).over(_doc())
+    end = F.min(F.when(F.col("is_header") & F.col("stripped").rlike("(?i)references"), F.col("idx"))).over(_doc())
+    base = base.withColumns({"intro": intro, "body_end": F.coalesce(end, F.max("idx").over(_doc()) + 1)})
     base = base.withColumns({"intro_idx": F.col("intro.idx"), "intro_format": F.col("intro.format")}).drop("intro")
     node = F.coalesce(F.col("is_header") & (F.col("idx") >= F.col("intro_idx")) & (F.col("idx") < F.col("body_end")), F.lit(False))
     base = base.withColumn("is_node", node).withColumn("is_section", F.col("is_node") & (F.col("format") == F.col("intro_format")))
-    base = base.withColumns({"node_idx": F.last(F.when(F.col("is_node"), F.col("idx")), ignorenulls=True).over(_SO_FAR), "sec_no": F.sum(F.col("is_section").cast("int")).over(_SO_FAR)})
+    base = base.withColumns({"node_idx": F.last(F.when(F.col("is_node"), F.col("idx")), ignorenulls=True).over(_so_far()), "sec_no": F.sum(F.col("is_section").cast("int")).over(_so_far())})
     in_section = W.partitionBy("doc_id", "sec_no").orderBy("idx").rowsBetween(W.unboundedPreceding, W.currentRow)
     base = base.withColumn("sub_no", F.sum((F.col("is_node") & ~F.col("is_section")).cast("int")).over(in_section))
     stray = F.coalesce((F.col("text_level") == 1) & ~F.col("is_node"), F.lit(False)).cast("int")
@@ -68,8 +77,8 @@ def bounds(outline: DataFrame) -> DataFrame:
 def sections(outline: DataFrame) -> DataFrame:
     """``doc_id, sec_id, sec_no, sub_no, idx, prefix, title, format, level, region_start, region_end`` in reading order of idx."""
     nodes = outline.filter("is_node").select("doc_id", "idx", "prefix", F.col("stripped").alias("title"), "format", "is_section", "body_end", "sec_no", "sub_no", "sec_id")
-    after = F.lead("idx").over(_READ)
-    top = F.min(F.when(F.col("is_section"), F.col("idx"))).over(_READ.rowsBetween(1, W.unboundedFollowing))
+    after = F.lead("idx").over(_read())
+    top = F.min(F.when(F.col("is_section"), F.col("idx"))).over(_read().rowsBetween(1, W.unboundedFollowing))
     last = F.coalesce(F.when(F.col("is_section"), top).otherwise(after), F.col("body_end")) - 1
     level = F.when(F.col("is_section"), H.DEPTH_NAMES[0]).otherwise(H.DEPTH_NAMES[1])
     return nodes.select("doc_id", "sec_id", F.col("sec_no").cast("long").alias("sec_no"), F.col("sub_no").cast("long").alias("sub_no"), "idx", "prefix", "title", "format", level.alias("level"), F.col("idx").alias("region_start"), last.alias("region_end"))
@@ -82,7 +91,7 @@ def walked(outline: DataFrame) -> DataFrame:
     by_kind = W.partitionBy("doc_id", "node_idx", "is_para").orderBy("idx")
     own = own.withColumn("is_para", is_para).withColumn("para_no", F.when(F.col("is_para"), F.row_number().over(by_kind)))
     own = own.withColumn("para_id", F.when(F.col("is_para"), F.concat(F.col("sec_id"), F.lit("_p"), F.col("para_no"))))
-    return own.withColumn("carried_para", F.last("para_id", ignorenulls=True).over(_SO_FAR))
+    return own.withColumn("carried_para", F.last("para_id", ignorenulls=True).over(_so_far()))
 
 
 def paragraphs(outline: DataFrame) -> DataFrame:
@@ -103,12 +112,12 @@ def equations(outline: DataFrame) -> DataFrame:
 def paragraph_order(paras: DataFrame) -> DataFrame:
     """The paragraphs with ``rank``, the place in numeric order of section and paragraph (1 < 1.2 < 1.10 < 2)."""
     path = F.transform(F.split("sec_id", "[.]"), lambda x: x.cast("int"))
-    return paras.withColumn("rank", F.row_number().over(_DOC.orderBy(path, "para_no")).cast("long"))
+    return paras.withColumn("rank", F.row_number().over(_doc().orderBy(path, "para_no")).cast("long"))
 
 
 def equation_order(eqs: DataFrame) -> DataFrame:
     """The equations with ``rank``, the place in plain order of their ids, ties in reading order."""
-    return eqs.withColumn("rank", F.row_number().over(_DOC.orderBy("eq_id", "idx")).cast("long"))
+    return eqs.withColumn("rank", F.row_number().over(_doc().orderBy("eq_id", "idx")).cast("long"))
 
 
 def figures(outline: DataFrame, bounded: bool = True) -> DataFrame:
@@ -126,7 +135,7 @@ def _numbered(outline: DataFrame, kind: str, captions: str, extra: str, name: st
     if bounded:
         rows = rows.filter("idx < body_end")
     short = name[:3]
-    rows = rows.withColumn(f"{short}_num", F.row_number().over(_READ).cast("long"))
+    rows = rows.withColumn(f"{short}_num", F.row_number().over(_read()).cast("long"))
     return rows.select("doc_id", F.concat(F.lit(name), F.col(f"{short}_num")).alias(f"{short}_id"), f"{short}_num", "idx", X.first_or_empty(F.col(captions)).alias("caption"), extra)
 
 

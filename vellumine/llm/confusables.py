@@ -95,27 +95,36 @@ def consistent(token: str) -> str:
     return "".join(TO_LATIN.get(c, c) for c in token)
 
 
-def look(text: str) -> str:
-    """The one form of all texts that look like *text*. Plain ASCII is its own form."""
-    if text.isascii():
-        return text
-    text = text.translate(_PLAIN)
-    if text.isascii():
-        return text
-    text = unicodedata.normalize("NFD", text)  # a foreign letter with an accent is respelled as letter and accent
+@lru_cache(maxsize=1 << 17)
+def _word(word: str) -> str:
+    """The one form of a stretch without plain blanks; letters are judged in runs."""
+    word = word.translate(_PLAIN)
+    if word.isascii():
+        return word
+    word = unicodedata.normalize("NFD", word)  # a foreign letter with an accent is respelled as letter and accent
     out, start = [], 0
-    for i, c in enumerate(text):
+    for i, c in enumerate(word):
         if not c.isalpha() and not unicodedata.combining(c):
             if start < i:
-                word = text[start:i]
-                out.append(word if word.isascii() else consistent(word))
+                run = word[start:i]
+                out.append(run if run.isascii() else consistent(run))
             out.append(c)
             start = i + 1
-    if start < len(text):
-        out.append(consistent(text[start:]))
+    if start < len(word):
+        out.append(consistent(word[start:]))
     return unicodedata.normalize("NFC", "".join(out))
 
 
+def look(text: str) -> str:
+    """The one form of all texts that look like *text*. Plain ASCII is its own form.
+
+    Neither accents nor runs of letters reach over a blank, so words are taken one by one.
+    """
+    if text.isascii():
+        return text
+    return " ".join([w if w.isascii() else _word(w) for w in text.split(" ")])
+
+
 def _strings(column: pa.Array) -> list:
     return column.to_pylist()
 

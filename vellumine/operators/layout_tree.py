@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,40 +29,37 @@ def layout_nodes(middle: DataFrame, key: str = "rec_id") -> DataFrame:
     return adjacency(middle, key, "pdf_info")
 
 
-def layout_table(nodes: DataFrame, level: str, key: str = "rec_id") -> DataFrame:
-    """One entity table with all five places; those of levels below the node, or of no sub-block, are -1."""
-    entity, places = LEVELS[level]
-    flat = entities(nodes, key, entity, places)
-    at = [(F.col(p) if p in places else F.lit(-1)).cast("int").alias(p) for p in PLACES]
-    return flat.select(key, *at, F.col("node"), *entity.scalars)
+def layout_entities(middle: DataFrame, levels: list[str], key: str = "rec_id") -> DataFrame:
+    """``rec_id``, the five places, ``entity, node`` and the scalars of the entities of these *levels*.
+
+    Places of levels below the node, or of no sub-block, are -1.
+    """
+    flat = entities(layout_nodes(middle, key), key, [LEVELS[x][0] for x in levels])
+    at = []
+    for p in PLACES:
+        found = [F.when(F.col("entity") == x, F.get("ords", F.lit(LEVELS[x][1].index(p)))) for x in levels if p in LEVELS[x][1]]
+        at.append(F.coalesce(*found, F.lit(-1)).cast("int").alias(p))
+    return flat.select(key, *at, "entity", "node", *(c for c in flat.columns if c not in (key, "entity", "node", "ords")))
 
 
 def layout_places(middle: DataFrame, key: str = "rec_id") -> DataFrame:
-    """Distinct places of all pages, blocks, sub-blocks, lines and spans that are not null.
+    """The places of all pages, blocks, sub-blocks, lines and spans that are not null, each once.
 
     Null or empty levels give no rows; an object whose fields are all null is a node. Of repeated records, and of
-    two unlike records under one key, each place is given once.
+    two unlike records under one key, each place is given once. An empty table gives no rows.
     """
-    nodes = layout_nodes(middle, key).filter(F.col("kind") == "object")
-    labels = {"".join(entity.labels): places for entity, places in LEVELS.values()}
-    pick = []
-    for p in PLACES:
-        at = [F.when(F.col("label") == label, F.get("ords", F.lit(places.index(p)))) for label, places in labels.items() if p in places]
-        pick.append(F.coalesce(*at, F.lit(-1)).cast("int").alias(p))
-    return nodes.filter(F.col("label").isin(list(labels))).select(key, *pick).distinct()
+    return layout_entities(middle, list(LEVELS), key).select(key, *PLACES)
 
 
 def layout_spans(middle: DataFrame, key: str = "rec_id") -> DataFrame:
     """All spans, in blocks and sub-blocks, with their scalars typed."""
-    nodes = layout_nodes(middle, key)
-    both = reduce(DataFrame.unionByName, (layout_table(nodes, level, key) for level in ("span", "sub_span")))
+    both = layout_entities(middle, ["span", "sub_span"], key)
     numbers = [F.col(c).cast("double").alias(c) for c in ("x0", "y0", "x1", "y1", "score")]
     return both.select(key, *PLACES, *numbers, "content", "type", "image_path")
 
 
 def layout_blocks(middle: DataFrame, key: str = "rec_id") -> DataFrame:
     """All blocks and sub-blocks with their box and type."""
-    nodes = layout_nodes(middle, key)
-    both = reduce(DataFrame.unionByName, (layout_table(nodes, level, key) for level in ("block", "sub_block")))
+    both = layout_entities(middle, ["block", "sub_block"], key)
     numbers = [F.col(c).cast("double").alias(c) for c in ("x0", "y0", "x1", "y1")]
     return both.select(key, *PLACES, *numbers, "type")

@@ -9,6 +9,7 @@ the schema, so the input is scanned once whatever the depth, and nothing leaves
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -88,27 +89,28 @@ def adjacency(records: DataFrame, key: str, column: str) -> DataFrame:
     )
 
 
-def entities(nodes: DataFrame, key: str, entity: Entity, places: list[str | None]) -> DataFrame:
-    """One flat table: object nodes of *entity* joined with their scalar children, which are pivoted into columns.
+def entities(nodes: DataFrame, key: str, wanted: list[Entity]) -> DataFrame:
+    """The entity tables *wanted*, one below the other: ``key, node, entity, ords`` and the union of their scalars.
 
-    Scalar rows carry the id of the object that owns them, so the join of objects and scalars is one grouping by
-    ``(key, owner)`` that needs one shuffle, with the pivot's partial aggregation before it. An object without
-    any scalar keeps its row, with nulls. *places* names the ancestors' ordinals in the order of the array steps;
-    a None skips a step. Repeated records give one row; of unlike values the largest is kept.
+    Scalar rows carry the id of the object that owns them, so the join of object nodes with their scalar children and
+    the pivot of these into columns are one grouping by ``(key, owner)``: one shuffle for all entities, and since a
+    record's nodes lie in one task, the partial aggregation sends each object once. *ords* are the places of the array
+    steps on the way to the object. An object without any scalar keeps its row, with nulls; columns that an entity
+    doesn't have are null. Repeated records give one row; of unlike values the largest is kept.
     """
-    object_label = "".join(entity.labels)
-    wanted = F.col("label") == object_label
-    picks = []
-    for out, below in entity.scalars.items():
-        names, place = [x for x in below if isinstance(x, str)], [x for x in below if isinstance(x, int)]
-        label = ".".join([object_label, *names]) + "[]" * len(place)
-        hit = (F.col("label") == label) & (F.col("kind") == "scalar")
-        wanted = wanted | hit
-        if place:
-            hit = hit & (F.col("ordinal") == place[0])
-        picks.append(F.max(F.when(hit, F.col("scalar"))).alias(out))
-    steps = object_label.count("[]")
-    rows = nodes.filter(wanted).select(key, "owner", "label", "kind", "ordinal", "scalar", F.slice("ords", 1, steps).alias("ords"))
-    grouped = rows.groupBy(key, "owner", "ords").agg(F.max(F.when((F.col("label") == object_label) & (F.col("kind") == "object"), True)).alias("is_object"), *picks)
-    at = [F.get("ords", F.lit(i)).alias(p) for i, p in enumerate(places) if p]
-    return grouped.filter("is_object").select(key, F.col("owner").alias("node"), *at, *entity.scalars)
+    names = list(dict.fromkeys(c for e in wanted for c in e.scalars))
+    object_labels = {"".join(e.labels): e for e in wanted}
+    hits: dict[str, list[Column]] = {c: [] for c in names}
+    for label, e in object_labels.items():
+        for out, below in e.scalars.items():
+            fields, place = [x for x in below if isinstance(x, str)], [x for x in below if isinstance(x, int)]
+            hit = F.col("label") == ".".join([label, *fields]) + "[]" * len(place)
+            hits[out].append(hit & (F.col("ordinal") == place[0]) if place else hit)
+    is_object = (F.col("kind") == "object") & F.col("label").isin(list(object_labels))
+    is_scalar = {out: (F.col("kind") == "scalar") & reduce(lambda a, b: a | b, each) for out, each in hits.items()}
+    some = nodes.filter(reduce(lambda a, b: a | b, is_scalar.values(), is_object))
+    picks = [F.max(F.when(hit, F.col("scalar"))).alias(out) for out, hit in is_scalar.items()]
+    first = F.max(F.when(is_object, F.struct("ords", "label"))).alias("object")
+    grouped = some.groupBy(key, "owner").agg(first, *picks).filter("object is not null")
+    entity = reduce(lambda c, pair: F.when(F.col("object.label") == pair[0], pair[1].name).otherwise(c), object_labels.items(), F.lit(None).cast("string"))
+    return grouped.select(key, F.col("owner").alias("node"), entity.alias("entity"), F.col("object.ords").alias("ords"), *names)

@@ -19,6 +19,7 @@ import unicodedata
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -279,27 +280,35 @@ def _oriented(parsed: DataFrame) -> DataFrame:
     return both.join(words.select(F.col("word").alias("given"), "gfreq"), "given", "left").withColumn("gfreq", F.coalesce("gfreq", F.lit(0)))
 
 
-def _block(pdf: pd.DataFrame) -> pd.DataFrame:
-    """The spellings of one block, each with the canonical form of its entity and that entity's total."""
-    names, counts = list(pdf["name"]), [int(n) for n in pdf["n"]]
-    if pdf["kind"].iloc[0] == "author":
-        block = list(zip(names, counts, pdf["given"], pdf["middle"]))
-        roots = attach_persons(block, dict(zip(pdf["given"], pdf["gfreq"])))
+def _settled_block(kind: str, members: list[dict]) -> list[tuple]:
+    """The spellings of one block, each with the canonical form of its entity and what is known of that entity."""
+    members = sorted(members, key=lambda m: m["name"])
+    names, counts = [m["name"] for m in members], [m["n"] for m in members]
+    given, middle = [m["given"] or "" for m in members], [m["middle"] or "" for m in members]
+    if kind == "author":
+        roots = attach_persons(list(zip(names, counts, given, middle)), {g: m["gfreq"] for g, m in zip(given, members)})
     else:
-        block = [(a, n, list(w)) for a, n, w in zip(names, counts, pdf["words"])]
-        roots = attach_venues(block)
+        roots = attach_venues([(m["name"], m["n"], m["words"]) for m in members])
     total: dict[int, int] = {}
     forms: dict[int, int] = {}
-    for i, r in enumerate(roots):
-        total[r] = total.get(r, 0) + counts[i]
-        forms[r] = forms.get(r, 0) + 1
     full: dict[int, str] = {}
     mid: dict[int, str] = {}
-    given, middle = list(pdf["given"]), list(pdf["middle"])
-    for i in sorted(range(len(roots)), key=lambda i: (len(given[i] or "") < 2, -pdf["gfreq"].iloc[i], -counts[i], names[i])):
-        full.setdefault(roots[i], given[i] or "")
-        mid[roots[i]] = mid.get(roots[i]) or middle[i] or ""
-    return pd.DataFrame({"kind": pdf["kind"].iloc[0], "name": names, "n": counts, "a": pdf["a"].iloc[0], "form": [names[r] for r in roots], "total": [total[r] for r in roots], "forms": [forms[r] for r in roots], "given": [full.get(r, "") for r in roots], "middle": [mid.get(r, "") for r in roots], "words": [list(pdf["words"].iloc[r]) if pdf["words"].iloc[r] is not None else None for r in roots]})
+    for i in sorted(range(len(roots)), key=lambda i: (len(given[i]) < 2, -members[i]["gfreq"], -counts[i], names[i])):
+        r = roots[i]
+        total[r] = total.get(r, 0) + counts[i]
+        forms[r] = forms.get(r, 0) + 1
+        full.setdefault(r, given[i])
+        mid[r] = mid.get(r) or middle[i]
+    return [(kind, names[i], counts[i], members[i]["a"], names[r], total[r], forms[r], full[r], mid[r], members[r]["words"]) for i, r in enumerate(roots)]
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    types = [pa.string(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.list_(pa.string())]
+    names = ["kind", "name", "n", "a", "form", "total", "forms", "given", "middle", "words"]
+    for b in batches:
+        rows = [r for kind, members in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) for r in _settled_block(kind, members)]
+        columns = list(zip(*rows)) or [()] * len(types)
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
 
 
 _BLOCKED = "kind string, name string, n long, a string, form string, total long, forms long, given string, middle string, words array<string>"
@@ -375,7 +384,9 @@ def linked(refs: DataFrame, rounds: int = 3) -> DataFrame:
     parsed = spellings(refs).mapInPandas(_parsed, _PARSED)
     turned = settled(_oriented(settled(parsed, refs.sparkSession)), refs.sparkSession)
     block = F.when(F.col("kind") == "author", F.concat_ws("|", "a", F.substring("given", 1, 1))).otherwise(F.col("a"))
-    blocked = settled(turned.withColumn("block", block).groupBy("kind", "block").applyInPandas(_block, _BLOCKED), refs.sparkSession)
+    member = F.struct("name", "n", "a", "given", "middle", "words", "gfreq")
+    members = turned.withColumn("block", block).groupBy("kind", "block").agg(F.collect_list(member).alias("members")).select("kind", "members")
+    blocked = settled(members.mapInArrow(_blocks, _BLOCKED), refs.sparkSession)
     forms = blocked.select("kind", "form", "a", "total", "forms", "given", "middle", "words").dropDuplicates(["kind", "form"])
     keyed = forms.mapInPandas(_keys, _KEYED)
     v, c = (keyed.select("key", "kind", *(F.col(x).alias(f"{side}_{x}") for x in ("form", "a", "total", "forms", "given", "middle", "words"))) for side in "vc")

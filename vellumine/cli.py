@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from vellumine.operators import structure as S
 from vellumine.plans import pipeline
-from vellumine.sources import files
+from vellumine.sources import files, ship
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -19,6 +19,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--tei", help="parquet of doc_id, tei_header, tei_references; without it all documents are partial")
     args = parser.parse_args(argv)
     spark = SparkSession.builder.appName("vellumine").getOrCreate()
+    ship(spark)
     items = S.items(files.content_lists(spark, args.inputs), "doc_id")
     outline = S.outlined(items)
     docs = items.select("doc_id").distinct()

@@ -1,5 +1,5 @@
 """Readers, sinks and pluggable providers."""
 
-from vellumine.sources.tables import shared_dir, table
+from vellumine.sources.tables import settled, shared_dir, ship, table
 
-__all__ = ["shared_dir", "table"]
+__all__ = ["settled", "shared_dir", "ship", "table"]

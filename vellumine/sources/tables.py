@@ -2,14 +2,31 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors of the session, once, so that their Python workers can import it."""
+    sc = spark.sparkContext
+    if getattr(sc, "_vellumine_shipped", False):
+        return
+    root = Path(__file__).resolve().parents[1]
+    path = Path(tempfile.mkdtemp(prefix="vellumine-")) / f"{root.name}.zip"  # of the driver alone; Spark serves it
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for file in sorted(root.rglob("*.py")):
+            z.write(file, file.relative_to(root.parent))
+    sc.addPyFile(str(path))
+    sc._vellumine_shipped = True
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
     """The table *name* of *sf_dir*; only *columns* if given, so that the scan is pruned."""
+    ship(spark)
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     return df.select(*columns) if columns else df
 
@@ -41,7 +58,3 @@ def settled(df: DataFrame, spark: SparkSession | None = None, columns: list[str]
     path = f"{shared_dir(spark).rstrip('/')}/vellumine-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def text_or_empty(column: str):
-    return F.coalesce(F.col(column), F.lit(""))

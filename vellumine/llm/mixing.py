@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 from vellumine.sources.tables import settled
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+#: Shards whose draws are summed up in one group.
+GROUP = 4096
 # Fixed value: the public pre-tokenisation pattern of that vocabulary.
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -143,7 +145,10 @@ class Mixer:
         """``mix_id, shard, source, n, before``: each shard's draws and those of the shards before it, to at most max_repeats x blocks."""
         slots, seed = self.slots, self.seed
         mixes = self.capacity.filter("source is not null and target_share > 0").groupBy("mix_id", "mix_blocks").agg(F.sort_array(F.collect_list(F.struct("source", "target_share", "blocks", "max_repeats"))).alias("of"))
-        shards = mixes.filter("mix_blocks > 0").select("mix_id", "mix_blocks", "of", F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("mix_blocks") / slots) - 1)).alias("shard"))
+        mixes = mixes.filter("mix_blocks > 0").withColumn("shards", F.ceil(F.col("mix_blocks") / slots))
+        groups = mixes.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("shards") - 1) / GROUP))).alias("g"))
+        last = F.least((F.col("g") + 1) * GROUP, F.col("shards")) - 1
+        shards = groups.select("mix_id", "mix_blocks", "of", F.explode(F.sequence(F.col("g") * GROUP, last)).alias("shard"))
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for pdf in batches:
@@ -157,8 +162,13 @@ class Mixer:
 
         kind = self.targets.schema["mix_id"].dataType.simpleString()
         draws = shards.mapInPandas(run, f"mix_id {kind}, shard long, source string, n long, blocks long, cap long")
-        before = F.sum("n").over(W.partitionBy("mix_id", "source").orderBy("shard")) - F.col("n")
-        return draws.withColumn("before", before).withColumn("n", F.least(F.col("n"), F.greatest(F.col("cap") - F.col("before"), F.lit(0)))).filter("n > 0")
+        # sums over the shards before: of whole groups of shards, and within the group, so that no task gets all shards
+        draws = draws.withColumn("g", F.floor(F.col("shard") / GROUP))
+        by_group = draws.groupBy("mix_id", "source", "g").agg(F.sum("n").alias("group_n"))
+        earlier = F.sum("group_n").over(W.partitionBy("mix_id", "source").orderBy("g")) - F.col("group_n")
+        draws = draws.join(by_group.withColumn("earlier", earlier).drop("group_n"), ["mix_id", "source", "g"])
+        within = F.sum("n").over(W.partitionBy("mix_id", "source", "g").orderBy("shard")) - F.col("n")
+        return draws.withColumn("before", F.col("earlier") + within).drop("g", "earlier").withColumn("n", F.least(F.col("n"), F.greatest(F.col("cap") - F.col("before"), F.lit(0)))).filter("n > 0")
 
     @cached_property
     def slotted(self) -> DataFrame:

@@ -123,6 +123,8 @@ def _given_loglik(typed: str, form: str) -> float:
         return math.log(CHANNEL["nickname"])
     if len(typed) >= 2 and len(form) > len(typed) + 1 and form.startswith(typed):
         return math.log(CHANNEL["prefix"])
+    if 3 <= len(typed) <= 4 and len(form) > len(typed) + 1 and typed[0] == form[0] and within_one(typed, form[: len(typed)]):
+        return math.log(CHANNEL["prefix"] * CHANNEL["typo"])  # cut short, where the form itself is a misspelling
     if within_one(typed, form) and min(len(typed), len(form)) >= 3:
         return math.log(CHANNEL["typo"] / (len(form) * 4))
     return -math.inf
@@ -160,7 +162,7 @@ def attach_persons(block: list[tuple[str, int, str, str]], gfreq: dict[str, int]
     is_short = {g: any(h != g and (h in _NICK.get(g, ()) or (h.startswith(g) and len(h) > len(g) + 1)) for h in weight) for g in weight}
     usual = gfreq or {}
     for g in sorted(weight, key=lambda g: (is_short[g], -usual.get(g, 0), -weight[g], g)):
-        best = max(((math.log(weight[h]) + _given_loglik(g, h), h) for h in heads), default=(-math.inf, ""))
+        best = max(((math.log(weight[h]) + _given_either(g, h), h) for h in heads), default=(-math.inf, ""))
         own = math.log(weight[g]) + math.log(COLLISION)
         canonical[g] = best[1] if best[0] > own else g
         if canonical[g] == g:
@@ -238,10 +240,10 @@ def attach_venues(block: list[tuple[str, int, list[str]]]) -> list[int]:
 def spellings(refs: DataFrame) -> DataFrame:
     """``kind, name, n``: distinct spellings of ``authors`` and of ``source`` with their numbers of mentions.
 
-    Null and blank names are left out; repeated rows weigh as often as they stand.
+    Nulls and names without any letter are left out; repeated rows weigh as often as they stand.
     """
     names = refs.select(F.explode(F.concat(F.transform(F.coalesce("authors", F.array().cast("array<string>")), lambda a: F.struct(F.lit("author").alias("kind"), a.alias("name"))), F.array(F.struct(F.lit("source").alias("kind"), F.col("source").alias("name"))))).alias("x")).select("x.*")
-    return names.filter(F.col("name").rlike(r"\S")).groupBy("kind", "name").agg(F.count("*").alias("n"))
+    return names.filter(F.col("name").rlike(r"\p{L}")).groupBy("kind", "name").agg(F.count("*").alias("n"))
 
 
 def _parsed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -314,9 +316,13 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 _BLOCKED = "kind string, name string, n long, a string, form string, total long, forms long, given string, middle string, words array<string>"
 
 
-def deletions(word: str) -> list[str]:
-    """The word and all words that lack one of its letters."""
-    return sorted({word, *(word[:i] + word[i + 1 :] for i in range(len(word)))})
+def deletions(word: str, short: int = 64) -> list[str]:
+    """Keys of which two words share one if a single error makes one to the other: the word and all words that lack one
+    of its letters. Of a long word, instead, the first and last letters, since one error cannot touch both ends."""
+    keys = {word, *(word[:i] + word[i + 1 :] for i in range(len(word)))} if len(word) <= short + 1 else set()
+    if len(word) >= short:
+        keys |= {"<" + word[:24], ">" + word[-24:]}
+    return sorted(keys)
 
 
 def _keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -376,7 +382,7 @@ def _scored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def linked(refs: DataFrame, rounds: int = 3) -> DataFrame:
     """``kind, name, n, entity``: each distinct spelling with the canonical spelling of its entity.
 
-    Names are compared as typed words: null and blank names are left out, empty tables give no rows, ties go to the
+    Names are compared as typed words: nulls and names without letters are left out, empty tables give no rows, ties go to the
     more frequent spelling and then to the lesser one by code points, and the same input always gives the same
     entities. Columns other than ``authors`` and ``source`` are ignored. *rounds* bounds the chains of misspelt
     forms that are followed to their last target (a chain is as long as its errors).

@@ -83,7 +83,7 @@ def statistics(text: str, lang: str | None, common: dict[str, frozenset[str]]) -
     told = lang if lang in common else best_language(common, words)
     usual = common.get(told, frozenset()) if told else frozenset()
     chars = len(text) or 1
-    solid = sum(not c.isspace() for c in text) or 1
+    solid = sum(not c.isspace() for c in text)
     letters = sum(c.isalpha() for c in text)
     digits = sum(c.isdigit() for c in text)
     lines = [x for x in (y.rstrip() for y in text.split("\n")) if x]
@@ -92,8 +92,8 @@ def statistics(text: str, lang: str | None, common: dict[str, frozenset[str]]) -
         told,
         math.log1p(len(words)),
         sum(map(len, words)) / n,
-        (solid - letters - digits) / solid,
-        digits / solid,
+        (solid - letters - digits) / (solid or 1),
+        digits / (solid or 1),
         sum(c.isupper() for c in text) / chars,
         sum(x.endswith(_END) for x in lines) / (len(lines) or 1),
         sum(w in usual for w in words) / n,

@@ -18,13 +18,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vellumine.sources.tables import settled
+
 # Letters drawn like a Latin letter (a subset of the public Unicode confusables data).
 _CYRILLIC = dict(zip("аеорсухѕіјһԁԛԝӏАВЕЅІЈКМНОРСТХУ", "aeopcyxsijhdqwlABESIJKMHOPCTXY"))
 _GREEK = dict(zip("οννϳΑΒΕΖΗΙΚΜΝΟΡΤΥΧ", "ovvjABEZHIKMNOPTYX"))
 TO_LATIN = {**_CYRILLIC, **_GREEK}
 _TO_SCRIPT = {"CYRILLIC": {v: k for k, v in _CYRILLIC.items()}, "GREEK": {v: k for k, v in _GREEK.items()}}
 # Characters drawn like one of another name, that canonical composition leaves apart.
-_ALIKE = {"µ": "μ", "‐": "-", "‑": "-", "ʹ": "'", "․": ".", "ı̇": "i"}
+_ALIKE = {"µ": "μ", "‐": "-", "‑": "-", "ʹ": "'", "․": "."}
 _LIGATURES = {chr(0xFB00 + i): s for i, s in enumerate(["ff", "fi", "fl", "ffi", "ffl", "st", "st"])}
 _INVISIBLE = {0x00AD, 0x034F, 0x061C, 0x115F, 0x1160, 0x17B4, 0x17B5, 0x180E, 0x200B, 0x200C, 0x200D, 0x200E, 0x200F, 0x2060, 0x2061, 0x2062, 0x2063, 0x2064, 0xFEFF}
 
@@ -75,8 +77,8 @@ def consistent(token: str) -> str:
     """The token in the script that fits all its letters.
 
     Mixed script or whole-script confusable: Latin, if each foreign letter has a Latin look-alike. Otherwise the
-    script of the letters that have none, into which Latin look-alikes are turned; a token in which a Latin and a
-    foreign letter both have none (a unit such as kΩ) keeps its Latin letters.
+    script of the letters that have none, if they are two or more and every Latin letter has a look-alike there.
+    Any other token (a unit such as MΩ) keeps its Latin letters and what has no look-alike.
     """
     own = {script(c) for c in token} - {"COMMON"}
     if not own - {"LATIN"}:
@@ -87,11 +89,10 @@ def consistent(token: str) -> str:
             shared = s if shared is None else shared & s
     if shared and "LATIN" in shared:
         return "".join(TO_LATIN.get(c, c) for c in token)
-    fixed = {script(c) for c in token if c not in TO_LATIN} - {"COMMON"}
-    if len(fixed) == 1 and (only := next(iter(fixed))) in _TO_SCRIPT:
-        back = _TO_SCRIPT[only]
-        if all(script(c) == only or c in back for c in token if script(c) != "COMMON" and c not in TO_LATIN) and not any(script(c) == "LATIN" and c not in back for c in token):
-            return "".join(back.get(TO_LATIN.get(c, c), c) if script(c) != only else c for c in token)
+    for only, back in _TO_SCRIPT.items():
+        fixed = sum(script(c) == only and c not in TO_LATIN for c in token)
+        if fixed > 1 and all(script(c) in (only, "COMMON") or c in back for c in token):
+            return "".join(back.get(c, c) for c in token)
     return "".join(TO_LATIN.get(c, c) for c in token)
 
 
@@ -171,16 +172,20 @@ def lookalikes(tables: dict[str, tuple[DataFrame, str, str]]) -> DataFrame:
     """``tbl, key_lo, key_hi``: rows of one table whose whole texts look the same but differ in code points.
 
     *tables*: name -> (rows, key column, text column). Rows of equal text are no pair, whatever their number; a
-    repeated row counts once. Only forms that occur in two different codings are paired, by two counts that
-    are combined before the shuffle, so a text that a third of all rows share meets nothing but the few rows that
-    code it otherwise. Nulls, blank texts and empty tables give no pair.
+    repeated row counts once. Only forms that occur in two different codings go on, as two counts that are combined
+    before the shuffle tell. Codings are paired before rows, so the rows of a text that a third of all rows share are
+    never held against one another, only against those that code it otherwise. Nulls, blank texts and empty tables give
+    no pair.
     """
     out = None
     for name, (rows, key, column) in tables.items():
-        keys = look_keys(rows, key, column)
+        keys = settled(look_keys(rows, key, column))  # each text is read once
         mixed = keys.groupBy("look").agg(F.min("text").alias("least"), F.max("text").alias("most")).filter("least < most").select("look")
-        some = keys.join(mixed, "look", "left_semi").distinct()
-        a, b = some.select("look", F.col("key").alias("key_lo"), F.col("text").alias("text_lo")), some.select("look", F.col("key").alias("key_hi"), F.col("text").alias("text_hi"))
-        pairs = a.join(b, "look").filter("text_lo <> text_hi and key_lo < key_hi").select(F.lit(name).alias("tbl"), "key_lo", "key_hi")
+        some = settled(keys.join(mixed, "look", "left_semi").distinct())
+        codings = some.select("look", "text").distinct()
+        pair = codings.withColumnRenamed("text", "text_a").join(codings.withColumnRenamed("text", "text_b"), "look").filter("text_a < text_b")
+        one, other = some.select("look", F.col("text").alias("text_a"), F.col("key").alias("a")), some.select("look", F.col("text").alias("text_b"), F.col("key").alias("b"))
+        both = pair.join(one, ["look", "text_a"]).join(other, ["look", "text_b"]).filter("a <> b")
+        pairs = both.select(F.lit(name).alias("tbl"), F.least("a", "b").alias("key_lo"), F.greatest("a", "b").alias("key_hi"))
         out = pairs if out is None else out.unionByName(pairs)
     return out.distinct()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from vellumine.llm.confusables import TO_LATIN
+
 _P5 = r"""
 WITH rows AS (
   SELECT DISTINCT item_id, paper_id, coalesce(source, '') AS source, text FROM content_list
@@ -16,7 +18,33 @@ kept AS (
   GROUP BY 1, 2 HAVING count(DISTINCT paper_id) >= 3 AND count(DISTINCT paper_id) >= any_value(papers) * CAST(0.15 AS DOUBLE))
 """
 
+_FROM = "".join(chr(0xFF01 + i) for i in range(94)) + "\u00a0\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u202f\u205f\u3000" + "µ‐‑" + "".join(TO_LATIN)
+_TO = "".join(chr(0x21 + i) for i in range(94)) + " " * 15 + "μ--" + "".join(TO_LATIN.values())
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _look(column: str) -> str:
+    """The one form of a text in which every foreign letter with a Latin look-alike is meant as the Latin one."""
+    out = rf"regexp_replace({column}, '[\x{{00AD}}\x{{200B}}-\x{{200F}}\x{{2060}}-\x{{2064}}\x{{FEFF}}]', '', 'g')"
+    for i, plain in enumerate(("ff", "fi", "fl", "ffi", "ffl", "st", "st")):
+        out = f"replace({out}, '{chr(0xFB00 + i)}', '{plain}')"
+    return f"nfc_normalize(translate({out}, {_quoted(_FROM)}, {_quoted(_TO)}))"
+
+
+def _alike(tbl: str, key: str, column: str) -> str:
+    return f"""SELECT DISTINCT '{tbl}' AS tbl, a.k AS key_lo, b.k AS key_hi FROM {tbl}_looks a JOIN {tbl}_looks b ON a.look = b.look AND a.k < b.k AND a.t <> b.t"""
+
+
+def _looks(tbl: str, key: str, column: str) -> str:
+    return f"""{tbl}_looks AS (SELECT * FROM (SELECT *, count(DISTINCT t) OVER (PARTITION BY look) AS codings FROM (SELECT DISTINCT {key} AS k, {column} AS t, {_look(column)} AS look FROM {tbl} WHERE {column} IS NOT NULL))
+  WHERE codings > 1 AND regexp_matches(look, '\\S'))"""
+
+
 ORACLE = {
+    "p4_found": f"WITH {_looks('content_list', 'item_id', 'text')}, {_looks('ref_records', 'ref_key', 'raw_text')} {_alike('content_list', 'item_id', 'text')} UNION ALL {_alike('ref_records', 'ref_key', 'raw_text')}",
     "p5_found": _P5 + "SELECT DISTINCT item_id, CAST(line_no AS INT) AS line_no FROM lines JOIN kept USING (source, line_key)",
     "p5_report": _P5
     + "SELECT source, line_papers, papers, count(*) AS n_lines FROM kept JOIN (SELECT DISTINCT source, line_key, item_id, line_no FROM lines) USING (source, line_key)"

@@ -251,6 +251,12 @@ _ISOLATED = (
 )
 
 _TEXTS = "WITH t AS (SELECT DISTINCT item_id, type, text FROM content_list WHERE text IS NOT NULL)"
+_ANY_COMMAND = r"\\[a-zA-Z]+"
+_SPELT = (
+    r"regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(text, '\\frac\s*\{(.*?)\}\s*\{(.*?)\}', '(\1) / (\2)', 'g'), '\\sqrt\s*\{(.*?)\}', 'sqrt(\1)', 'g'),"
+    r" '\\text\{([^}]*)\}', '\1', 'g'), '\^\{(.*?)\}', '^\1', 'g'), '_\{(.*?)\}', '_\1', 'g')"
+)
+_BRACKETED = f"replace(replace({_SPELT}, '{{', '('), '}}', ')')"
 _FINE = "fine AS (SELECT doc_id FROM docs WHERE intro_idx IS NOT NULL AND doc_id NOT IN (SELECT doc_id FROM eq_rows WHERE para_idx IS NULL))"
 _WHOLE = (
     OUTLINE.rstrip() + ", " + _FINE + ", " + _LATEST
@@ -295,6 +301,8 @@ OTHER = {
     + r""" SELECT item_id, regexp_replace(regexp_replace(regexp_replace('H<sub>2</sub>O <sup class=''x''>+</sup><b>' || replace(text, chr(10), ' ') || '</b>', '<sub[^>]*>(.*?)</sub>', '_\1', 'g'), '<sup[^>]*>(.*?)</sup>', '^\1', 'g'), '<[^>]+>', '', 'g') AS marked FROM t""",
     "unfold_malformed": _TEXTS
     + r" SELECT item_id, replace(replace(replace(replace(replace(replace(regexp_replace(replace('a \over b \tag{(3)} & ' || text, '\over', '/'), '\\(hbox|tag)\{\(\d+\)\}', '', 'g'), '\$', '$'), '\cr', chr(10)), '\ll', '<<'), '\eqalignno{', ''), '}&', ')'), '&', '') AS unfolded FROM t WHERE type = 'equation'",
+    "math_to_text": _TEXTS
+    + r" SELECT item_id, " + strip(f"regexp_replace(regexp_replace({_BRACKETED}, '{_ANY_COMMAND}', '', 'g'), '{WS}+', ' ', 'g')") + " AS plain FROM t WHERE type = 'equation'",
     "compact_latex": _TEXTS + rf" SELECT item_id, regexp_replace(replace(replace(text, '\\', '\'), '$$', '$'), '{WS}+', '', 'g') AS compact FROM t WHERE type = 'equation'",
     "flat_schema_counts": OUTLINE.rstrip() + ", " + _FINE
     + " SELECT doc_id, " + _count("sections") + " AS n_sections, " + _count("named") + " AS n_paragraphs, " + _count("eqs") + " AS n_equations,"

@@ -50,10 +50,10 @@ def _nodes(value: Column, kind: T.DataType, path: Column, parent: Column, ords:
             parts.append(_nodes(value.getField(field.name), field.dataType, at, path, ords, path, f"{label}.{field.name}" if label else field.name, F.lit(None).cast("int")))
         found = F.concat(*parts)
     elif isinstance(kind, T.ArrayType):
-        below = F.transform(
-            value,
-            lambda x, i: _nodes(x, kind.elementType, F.concat(path, F.lit("["), i.cast("string"), F.lit("]")), path, F.concat(ords, F.array(i)), own, f"{label}[]", i),
-        )
+        # the element's id and places are bound once, so that the nodes below don't build them again and again
+        bound = lambda i: F.array(F.struct(F.concat(path, F.lit("["), i.cast("string"), F.lit("]")).alias("path"), F.concat(ords, F.array(i)).alias("ords")))
+        element = lambda x, i, at: _nodes(x, kind.elementType, at["path"], path, at["ords"], own, f"{label}[]", i)
+        below = F.transform(value, lambda x, i: F.get(F.transform(bound(i), lambda at: element(x, i, at)), F.lit(0)))
         found = F.concat(F.array(row("array", none, own)), F.flatten(below))
     else:
         found = F.array(row("scalar", value.cast("string"), own))

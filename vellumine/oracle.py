@@ -121,6 +121,19 @@ _REFS = "WITH refs AS (SELECT DISTINCT ref_key, raw_text FROM ref_records WHERE
 _NO_FORMULA = r"regexp_replace(regexp_replace(raw_text, '\\\$.*?\\\$', '', 'g'), '" + WS + "+', ' ', 'g')"
 _AUTHORS = r"""string_split_regex(regexp_extract(raw_text, '^([^\n\r]*?),\s*"', 1), ',\s+and\s+| and |, ')"""
 
+
+
+_EM = "regexp_extract(raw_text, '<em>(.*?)</em>', 1)"
+_RAW = "coalesce(raw_text, '')"
+
+
+def _fields(text: str, authors: str = _AUTHORS) -> str:
+    return (
+        f"array_to_string({authors.replace('raw_text', text)}, '; ') AS authors, nullif(regexp_extract({text}, '(?i)vol\\.\\s*(\\d+)', 1), '') AS volume, nullif(regexp_extract({text}, '(?i)no\\.\\s*(\\d+)', 1), '') AS issue_no,"
+        f" coalesce(nullif(regexp_extract({text}, '(?i)pp\\.\\s*(\\d+-\\d+)', 1), ''), nullif(regexp_extract({text}, '(?i)pp\\.\\s*(\\d+)', 1), '')) AS pages, regexp_extract({text}, '\\b(19|20)\\d{{2}}\\b') AS publication_year"
+    )
+
+
 STRUCTURE = {
     "headers": OUTLINE + "SELECT doc_id, idx, stripped AS title, prefix, format FROM formed WHERE is_header",
     "format_histogram": OUTLINE + "SELECT format, count(*) AS n FROM formed WHERE is_header GROUP BY 1",
@@ -282,6 +295,14 @@ OTHER = {
     + f" row_number() OVER (PARTITION BY paper_id ORDER BY ref_key) AS n, nullif({strip('title')}, '') AS title, nullif(" + _names("authors", "; ") + f", '') AS authors, nullif({strip('source')}, '') AS source,"
     + " volume, issue_no, CASE WHEN split_part(pages, '-', 1) <> '' AND split_part(pages, '-', 2) <> '' THEN split_part(pages, '-', 1) || '-' || split_part(pages, '-', 2) END AS pages,"
     + f" left(publication_year, 4) AS publication_year, nullif({strip('raw_text')}, '') AS raw_text FROM r",
+    "rest_references": "WITH r AS (SELECT DISTINCT * FROM ref_records) SELECT paper_id AS doc_id, row_number() OVER (PARTITION BY paper_id ORDER BY ref_key) - 1 AS n, ref_id, title,"
+    + f" regexp_extract(coalesce(raw_text, ''), '<em>(.*?)</em>', 1) AS source, {_fields(_RAW)}, raw_text, nullif(article_number, '') AS article_number,"
+    + " CASE WHEN article_number <> '' THEN document_link END AS document_link FROM r",
+    "html_references": "WITH r AS (SELECT DISTINCT ref_key, paper_id, raw_text FROM ref_records WHERE raw_text IS NOT NULL),"
+    + " p AS (SELECT *, array_to_string(list_filter(list_transform(string_split_regex(raw_text, '</?em>'), lambda x: " + strip("x") + "), lambda y: y <> ''), ' ') AS raw,"
+    + f" CASE WHEN contains(raw_text, '<em>') THEN {strip(_EM)} END AS em FROM r),"
+    + f" q AS (SELECT paper_id AS doc_id, 'ref' || ref_key AS ref_id, row_number() OVER (PARTITION BY paper_id ORDER BY ref_key) - 1 AS n, {strip(_NO_FORMULA.replace('raw_text', 'raw'))} AS t, em FROM p)"
+    + f" SELECT doc_id, ref_id, n, nullif(regexp_extract(t, '\"([^\"]+)\"', 1), '') AS title, em AS source, {_fields('t')}, t AS raw_text FROM q",
     "caption_images": _image_captions("Fig"),
     "caption_images_any": _image_captions(""),
     "caption_tables": "WITH" + _BLOCKS

@@ -11,7 +11,7 @@ from vellumine.functions import headings as H
 from vellumine.functions import references as R
 from vellumine.functions import text as X
 from vellumine.functions import latex
-from vellumine.operators import captions, cleaning, layout_tree, reconcile, tei
+from vellumine.operators import captions, cleaning, layout_tree, reconcile, reference_lists, tei
 from vellumine.operators import structure as S
 from vellumine.plans import pipeline, tree
 from vellumine.sources.tables import table
@@ -174,6 +174,23 @@ def tei_references(spark: SparkSession, sf_dir: str) -> DataFrame:
     return refs.withColumn("authors", F.array_join("authors", "; "))
 
 
+def rest_references(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Service answers made from ref_records, read back."""
+    refs = table(spark, sf_dir, "ref_records").distinct()
+    one = F.struct("ref_key", F.struct(F.col("ref_id").alias("id"), F.col("raw_text").alias("text"), "title", F.col("article_number").alias("articleNumber"), F.struct(F.col("document_link").alias("documentLink")).alias("links")).alias("r"))
+    listed = refs.groupBy(F.col("paper_id").alias("doc_id")).agg(F.transform(F.array_sort(F.collect_list(one)), lambda x: x["r"]).alias("references"))
+    answers = listed.select("doc_id", F.to_json(F.struct("references")).alias("answer"))
+    return reference_lists.rest_references(answers).withColumn("authors", F.array_join("authors", "; "))
+
+
+def html_references(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Web pages made from ref_records, read back."""
+    refs = table(spark, sf_dir, "ref_records", ["ref_key", "paper_id", "raw_text"]).filter("raw_text is not null").distinct()
+    box = F.concat(F.lit('<div class="reference-container"><div class="number"><b>'), F.col("ref_key").cast("string"), F.lit('.</b></div><div class="col"><div>'), F.replace("raw_text", F.lit("&"), F.lit("&amp;")), F.lit("</div></div></div>"))
+    pages = refs.groupBy(F.col("paper_id").alias("doc_id")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ref_key", box.alias("x")))), lambda s: s["x"]), "<br>").alias("html"))
+    return reference_lists.html_references(pages).withColumn("authors", F.array_join("authors", "; "))
+
+
 def caption_images(spark: SparkSession, sf_dir: str) -> DataFrame:
     return captions.image_captions(table(spark, sf_dir, "middle_json", ["rec_id", "pdf_info"]))
 
@@ -315,7 +332,7 @@ _STRUCTURE: list[Query] = [
     region_content_compat, region_content_text, body_text_rows, reference_details, reference_authors, reference_text,
 ]
 _OTHER: list[Query] = [
-    tei_header, content_types, tei_references, caption_images, caption_images_any, caption_tables, best_blocks, line_actions, reconciled_lines,
+    tei_header, content_types, tei_references, rest_references, html_references, caption_images, caption_images_any, caption_tables, best_blocks, line_actions, reconciled_lines,
     bad_entries, cleaned_documents, cleaned_isolated, plain_blanks, html_to_marks, unfold_malformed, restore_commands, math_to_text, compact_latex,
     squeeze_commands, latex_to_text, cleaned_inline, flat_schema_counts, document_status, merged_documents, merged_json, failure_report, retry_list,
     body_tree, figures_and_tables,

@@ -59,3 +59,43 @@ class TableProvider:
 
     def apply(self, documents: DataFrame) -> DataFrame:
         return documents.select("doc_id").join(self.stored, "doc_id", "left").withColumn("provider_error", F.lit(None).cast("string"))
+
+
+def post_pdf(content: bytes, endpoint: str, consolidate: str, timeout: int = 120) -> str:
+    """Posts a document to a metadata service as a multipart form with one switch set to 1; gives the XML it answers.
+
+    Raises on an HTTP error or after *timeout* seconds; within a BatchProvider that becomes the document's error.
+    """
+    import urllib.request
+    import uuid
+
+    mark = uuid.uuid4().hex
+    head = f'--{mark}\r\nContent-Disposition: form-data; name="{consolidate}"\r\n\r\n1\r\n--{mark}\r\nContent-Disposition: form-data; name="input"; filename="doc.pdf"\r\nContent-Type: application/pdf\r\n\r\n'
+    body = head.encode() + content + f"\r\n--{mark}--\r\n".encode()
+    request = urllib.request.Request(endpoint, body, {"Content-Type": f"multipart/form-data; boundary={mark}", "Accept": "application/xml"})
+    with urllib.request.urlopen(request, timeout=timeout) as answer:
+        return answer.read().decode("utf-8")
+
+
+def metadata_service(header_url: str, references_url: str, doc_type: str = "string") -> BatchProvider:
+    """``tei_header, tei_references`` of each document, by two requests with the document's bytes read once."""
+
+    def make() -> Callable[[bytes], dict]:
+        return lambda content: {"tei_header": post_pdf(content, header_url, "consolidateHeader"), "tei_references": post_pdf(content, references_url, "includeRawCitations")}
+
+    return BatchProvider(make, "tei_header string, tei_references string", doc_type)
+
+
+def references_service(url_of: Callable[[str], str], doc_type: str = "string", timeout: int = 120) -> BatchProvider:
+    """``answer``, the JSON a reference service gives for an article number, which stands in ``content`` as bytes."""
+
+    def make() -> Callable[[bytes], dict]:
+        import urllib.request
+
+        def call(number: bytes) -> dict:
+            with urllib.request.urlopen(url_of(number.decode()), timeout=timeout) as answer:
+                return {"answer": answer.read().decode("utf-8")}
+
+        return call
+
+    return BatchProvider(make, "answer string", doc_type)

@@ -41,7 +41,10 @@ def best_language(common: dict[str, frozenset[str]], words: list[str]) -> str |
 def _running(line: str, common: dict[str, frozenset[str]]) -> tuple[int, int, int]:
     """(characters, words, common words of the language that has most) of a line; numbers count among the words."""
     words = _WORD.findall(line.lower())
-    return len(line), len(words) + len(_NUMBER.findall(line)), max((sum(map(usual.__contains__, words)) for usual in common.values()), default=0)
+    n = len(words) + len(_NUMBER.findall(line))
+    if sum(map(len, words)) * 2 < len(line) - line.count(" "):
+        return len(line), n, 0  # what is mostly signs or digits runs in no language
+    return len(line), n, max((sum(map(usual.__contains__, words)) for usual in common.values()), default=0)
 
 
 def sentence_share(text: str, common: dict[str, frozenset[str]]) -> float:

@@ -6,11 +6,11 @@ ok: structure and metadata; partial: structure only; failed: no structure.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from vellumine.functions import text as X
 from vellumine.operators import structure as S
 from vellumine.operators import tei
 
@@ -25,21 +25,37 @@ def _listed(rows: DataFrame, name: str, order: list[str | Column], fields: dict[
 def flat_schema(items: DataFrame) -> DataFrame:
     """``doc_id, sections, paragraphs, equations, figures, tables``: the flat product of each document that can be parsed.
 
-    Every list is grouped on the shuffle by document that the outline made; nothing is shuffled again.
+    Each row of the outline is marked with what it is in the product, and one grouping gathers all five lists, on the
+    partitioning by document that the items came with: one scan, one shuffle. It gives what the operators of
+    ``structure`` give one by one.
     """
-    outline = S.outlined(items)
+    doc, node = W.partitionBy("doc_id").orderBy("idx"), W.partitionBy("doc_id", "node_idx").orderBy("idx")
+    so_far = lambda w: w.rowsBetween(W.unboundedPreceding, W.currentRow)
+    count = lambda what, w: F.sum(F.when(what, 1).otherwise(0)).over(so_far(w))
+    rows = S.outlined(items)
+    own, starts = F.col("in_text"), lambda kind: F.coalesce(F.col("type").startswith(kind), F.lit(False))
+    filled, inside = F.col("stripped") != "", F.col("intro_idx").isNotNull() & (F.col("idx") < F.col("body_end"))
+    rows = rows.withColumns({"is_para": own & starts("text") & filled, "is_eq": own & starts("equation") & filled, "is_fig": inside & (F.col("type") == "image"), "is_tab": inside & (F.col("type") == "table")})
+    rows = rows.withColumn("para_no", count(F.col("is_para"), node))
+    rows = rows.withColumn("para_id", F.last(F.when(F.col("is_para"), F.concat("sec_id", F.lit("_p"), "para_no")), ignorenulls=True).over(so_far(doc)))
+    rows = rows.withColumns({"eq_no": count(F.col("is_eq"), node) - 1, "fig_no": count(F.col("is_fig"), doc), "tab_no": count(F.col("is_tab"), doc)})
     path = F.transform(F.split("sec_id", "[.]"), lambda x: x.cast("int"))
-    fine = S.errors(outline).filter("error_code is null").select("doc_id")
-    lists = [
-        _listed(S.sections(outline), "sections", ["idx"], {"sec_id": "sec_id", "title": "title"}),
-        _listed(S.paragraphs(outline), "paragraphs", [path, "para_no"], {"para_id": "para_id", "sec_id": "sec_id", "text": "text"}),
-        _listed(S.equations(outline), "equations", ["eq_id", "idx"], {"eq_id": "eq_id", "para_id": "para_id", "raw_latex": "raw_latex"}),
-        _listed(S.figures(outline), "figures", ["idx"], {"fig_id": "fig_id", "caption": "caption"}),
-        _listed(S.tables(outline), "tables", ["idx"], {"tab_id": "tab_id", "caption": "caption"}),
-    ]
-    whole = reduce(lambda a, b: a.join(b, "doc_id", "left"), lists, fine)
-    empty = {name: F.coalesce(name, F.array().cast(whole.schema[name].dataType)) for name in ("sections", "paragraphs", "equations", "figures", "tables")}
-    return whole.withColumns(empty)
+    eq_id = F.concat("para_id", F.lit("_eq"), F.col("eq_no").cast("string"))
+    lists = {
+        "sections": ("is_node", ["idx"], {"sec_id": F.col("sec_id"), "title": F.col("stripped")}),
+        "paragraphs": ("is_para", [path, "para_no"], {"para_id": F.col("para_id"), "sec_id": F.col("sec_id"), "text": F.col("stripped")}),
+        "equations": ("is_eq", [eq_id, "idx"], {"eq_id": eq_id, "para_id": F.col("para_id"), "raw_latex": F.col("stripped")}),
+        "figures": ("is_fig", ["idx"], {"fig_id": F.concat(F.lit("fig"), "fig_no"), "caption": X.first_or_empty(F.col("img_caption"))}),
+        "tables": ("is_tab", ["idx"], {"tab_id": F.concat(F.lit("tab"), "tab_no"), "caption": X.first_or_empty(F.col("table_caption"))}),
+    }
+    gathered = []
+    for name, (what, order, fields) in lists.items():
+        keys = [(F.col(o) if isinstance(o, str) else o).alias(f"k{i}") for i, o in enumerate(order)]
+        one = F.struct(*keys, F.struct(*(c.alias(n) for n, c in fields.items())).alias("v"))
+        gathered.append(F.transform(F.array_sort(F.collect_list(F.when(F.col(what), one))), lambda x: x["v"]).alias(name))
+    early = F.max(own & starts("equation") & F.col("para_id").isNull()).alias("early")
+    whole = rows.groupBy("doc_id").agg(*gathered, F.max(F.col("intro_idx")).alias("intro_idx"), early)
+    return whole.filter(F.col("intro_idx").isNotNull() & ~F.col("early")).select("doc_id", *lists)
 
 
 def references_list(references: DataFrame) -> DataFrame:

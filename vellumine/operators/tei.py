@@ -37,34 +37,47 @@ def _full_names(authors: Column) -> Column:
     return F.filter(F.transform(F.coalesce(authors, F.array().cast(f"array<{_AUTHOR}>")), name), lambda n: n != "")
 
 
+_APART = "\x1f"
+
+
 def header_record(xml: Column) -> Column:
     """The 15-field record of a TEI header; null for a text that is null or no well-formed XML. Empty values are null."""
     shape = F.from_xml(xml, HEADER_SHAPE, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
     sound = xml.isNotNull() & shape["_corrupt_record"].isNull()
-    at = lambda path: F.xpath_string(xml, F.lit(path))
     first = "(//publicationStmt/{0} | //imprint/{0})[1]"
-    date = at(first.format("date"))
-    when = at(first.format("date") + "/@when")
-    place = at("(//monogr)[1]//meeting//addrLine | (//monogr)[1]//meeting//settlement")
     scope = "(//monogr)[1]//biblScope[@unit='{}']"
-    fields = [
-        F.array_join(_full_names(shape["teiHeader"]["fileDesc"]["sourceDesc"]["biblStruct"]["analytic"]["author"]), ", "),
-        at("//titleStmt/title[@level='a'][@type='main']"),
-        at("//idno[@type='DOI']"),
-        date,
-        at(first.format("publisher")),
-        F.when(place != "", "Conferences").otherwise("Journals"),
-        F.when(place != "", "IEEE Conference").otherwise("IEEE Journal"),
-        at("(//monogr)[1]/title[@level='j' or @level='m'][1]"),
-        place,
-        at(scope.format("volume")),
-        at(scope.format("page") + "/@from"),
-        at(scope.format("page") + "/@to"),
-        date,
-        F.substring(F.coalesce(none_if_empty(when), date), 1, 4),
-        strip(at("//abstract")),
-    ]
-    return F.when(sound, F.struct(*(none_if_empty(f).alias(name) for f, name in zip(fields, HEADER_FIELDS))))
+    paths = {
+        "title": "//titleStmt/title[@level='a'][@type='main']",
+        "doi": "//idno[@type='DOI']",
+        "date": first.format("date"),
+        "when": first.format("date") + "/@when",
+        "publisher": first.format("publisher"),
+        "journal": "(//monogr)[1]/title[@level='j' or @level='m'][1]",
+        "place": "(//monogr)[1]//meeting//addrLine | (//monogr)[1]//meeting//settlement",
+        "volume": scope.format("volume"),
+        "from": scope.format("page") + "/@from",
+        "to": scope.format("page") + "/@to",
+        "abstract": "//abstract",
+    }
+    # one path for all values, so that a text is parsed once; the separator cannot stand in XML
+    joined = F.xpath_string(xml, F.lit("concat(" + f", '{_APART}', ".join(f"string({path})" for path in paths.values()) + ")"))
+
+    def record(bound: Column) -> Column:
+        at = {name: F.get(bound["values"], F.lit(i)) for i, name in enumerate(paths)}
+        conference = at["place"] != ""
+        fields = [
+            F.array_join(_full_names(bound["authors"]), ", "),
+            at["title"], at["doi"], at["date"], at["publisher"],
+            F.when(conference, "Conferences").otherwise("Journals"), F.when(conference, "IEEE Conference").otherwise("IEEE Journal"),
+            at["journal"], at["place"], at["volume"], at["from"], at["to"], at["date"],
+            F.substring(F.coalesce(none_if_empty(at["when"]), at["date"]), 1, 4),
+            strip(at["abstract"]),
+        ]
+        return F.struct(*(none_if_empty(f).alias(name) for f, name in zip(fields, HEADER_FIELDS)))
+
+    authors = shape["teiHeader"]["fileDesc"]["sourceDesc"]["biblStruct"]["analytic"]["author"]
+    once = F.array(F.struct(F.split(joined, _APART).alias("values"), authors.alias("authors")))  # bound, so that no field reads it anew
+    return F.when(sound, F.get(F.transform(once, record), F.lit(0)))
 
 
 def headers_of(documents: DataFrame, doc: str = "doc_id", xml: str = "tei_header") -> DataFrame:

@@ -81,12 +81,18 @@ def adjacency(records: DataFrame, key: str, column: str) -> DataFrame:
     of *records* are ignored, so their names can't clash.
     """
     kind = records.schema[column].dataType
-    root = _nodes(F.col(column), kind, F.lit(column), F.lit(None).cast("string"), F.expr("cast(array() as array<int>)"), F.lit(column), "", F.lit(None).cast("int"))
-    return (
-        records.filter(F.col(key).isNotNull() & F.col(column).isNotNull())
-        .select(F.col(key), F.explode(root).alias("n"))
-        .select(key, "n.*")
-    )
+    none, places = F.lit(None).cast("int"), F.expr("cast(array() as array<int>)")
+    some = records.filter(F.col(key).isNotNull() & F.col(column).isNotNull())
+    if not isinstance(kind, T.ArrayType):
+        root = _nodes(F.col(column), kind, F.lit(column), F.lit(None).cast("string"), places, F.lit(column), "", none)
+        return some.select(F.col(key), F.explode(root).alias("n")).select(key, "n.*")
+    # an array of a record's parts is opened first, so that a task holds the nodes of one part at a time
+    parts = some.select(F.col(key).alias("key__"), F.posexplode_outer(column).alias("at__", "part__"))
+    whole = F.array(F.struct(F.lit(column).alias("node"), F.lit(None).cast("string").alias("parent"), F.lit("").alias("label"), none.alias("ordinal"), F.lit("array").alias("kind"), places.alias("ords"), F.lit(column).alias("owner"), F.lit(None).cast("string").alias("scalar")))
+    path = F.concat(F.lit(column + "["), F.col("at__").cast("string"), F.lit("]"))
+    below = _nodes(F.col("part__"), kind.elementType, F.col("path__"), F.lit(column), F.array("at__"), F.lit(column), "[]", F.col("at__"))
+    first = F.when(F.coalesce("at__", F.lit(0)) == 0, whole).otherwise(F.expr("array()").cast(_NODE_ARRAY))
+    return parts.withColumn("path__", path).select(F.col("key__").alias(key), F.explode(F.concat(first, below)).alias("n")).select(key, "n.*")
 
 
 def entities(nodes: DataFrame, key: str, wanted: list[Entity]) -> DataFrame:

@@ -15,7 +15,7 @@ pytestmark = pytest.mark.skipif(not os.path.exists(M.TOKENIZER), reason="no voca
 
 def mixer(spark, **options):
     docs = [(i, f"word{i} " * (20 + i % 30), "big") for i in range(300)] + [(1000 + i, "small text here " * 10, "small") for i in range(40)] + [(2000, None, "big"), (2001, "", "small"), (2002, "no source", None), (3, "word3 " * 23, "big")]
-    targets = [(1, "big", 0.5, 2), (1, "small", 0.3, 2), (1, "none", 0.2, 9), (2, "big", 0.9, 1), (2, "small", 0.1, 4), (3, "none", 1.0, 1), (2, "small", 0.1, 4), (None, "big", 1.0, 1), (4, None, 1.0, 3)]
+    targets = [(1, "big", 0.5, 2), (1, "small", 0.3, 2), (1, "none", 0.2, 9), (2, "big", 0.9, 1), (2, "small", 0.1, 4), (3, "none", 1.0, 1), (2, "small", 0.1, 4), (None, "big", 1.0, 1), (4, None, 1.0, 3), (5, "big", float("nan"), 1), (5, "small", None, 1), (6, "small", 1.0, None), (7, "small", -1.0, -1)]
     d = spark.createDataFrame([(*x, "c") for x in docs], "doc_id long, text string, source string, tokens string")
     t = spark.createDataFrame(targets, "mix_id long, source string, target_share double, max_repeats int")
     return M.Mixer(d, t, **{"block": 64, "slots": 32, "part_docs": 100, **options})
@@ -47,7 +47,7 @@ def test_unreachable_matches_brute_force(spark):
     for r in m.counted.collect():
         tokens[r["source"]] = tokens.get(r["source"], 0) + r["n_tokens"]
     targets = [tuple(r) for r in m.targets.collect()]
-    wanted = sorted((i, s) for i, s, share, most in targets if most * tokens.get(s, 0) < share * sum(tokens.get(x, 0) for j, x, _, _ in targets if j == i))
+    wanted = sorted((i, s) for i, s, share, most in targets if share is not None and most is not None and most * tokens.get(s, 0) < share * sum(tokens.get(x, 0) for j, x, _, _ in targets if j == i))
     assert sorted(tuple(r) for r in m.unreachable().collect()) == wanted and (1, "none") in wanted and (1, "small") in wanted
 
 

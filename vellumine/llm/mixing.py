@@ -82,13 +82,14 @@ class Mixer:
     """The mixes of ``mix_targets`` (``mix_id, source, target_share, max_repeats``) over ``documents`` (``doc_id, text, source``).
 
     Documents without source or text take no part. Rows of mix_targets that are repeated count once; a null source is
-    one without documents; rows without mix_id are left out. Empty tables give empty results. Other columns are ignored.
+    one without documents; rows without mix_id are left out, a NaN share is null, and nothing is drawn for shares
+    that are null or not above 0; they are neither reachable nor unreachable. Empty tables give empty results. Other columns are ignored.
     """
 
     def __init__(self, documents: DataFrame, targets: DataFrame, block: int = 1024, slots: int = 256, seed: int = 7, part_docs: int = 50_000, tokenizer: str = TOKENIZER):
         self.spark, self.block, self.slots, self.seed, self.part_docs = documents.sparkSession, block, slots, seed, part_docs
         self.tokenizer, self.documents = tokenizer, documents
-        self.targets = targets.filter(F.col("mix_id").isNotNull()).select("mix_id", "source", "target_share", "max_repeats").distinct()
+        self.targets = targets.filter(F.col("mix_id").isNotNull()).select("mix_id", "source", F.when(~F.isnan("target_share"), F.col("target_share")).alias("target_share"), "max_repeats").distinct()
 
     @cached_property
     def counted(self) -> DataFrame:

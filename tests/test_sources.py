@@ -53,6 +53,15 @@ def test_write_each(spark, tmp_path):
     assert json.loads((tmp_path / "out/a_b.json").read_text(encoding="utf-8")) == {"x": "ü"}
 
 
+def test_settled_tables_and_sweep(spark):
+    from vellumine.sources import settled, sweep
+
+    sweep(spark)
+    df = settled(spark.range(5).selectExpr("id", "id * 2 as b"), columns=["b"])
+    assert df.columns == ["b"] and rows(df) == [(0,), (2,), (4,), (6,), (8,)]
+    assert "parquet" in df._jdf.queryExecution().optimizedPlan().toString() and sweep(spark) == 1 and sweep(spark) == 0
+
+
 def test_providers(spark):
     docs = spark.createDataFrame([("a", b"xy"), ("b", b"")], "doc_id string, content binary")
     got = BatchProvider(lambda: lambda c: {"n": 1 // len(c)}, "n long").apply(docs)

@@ -1,5 +1,5 @@
 """Readers, sinks and pluggable providers."""
 
-from vellumine.sources.tables import settled, shared_dir, ship, table
+from vellumine.sources.tables import settled, shared_dir, ship, sweep, table
 
-__all__ = ["settled", "shared_dir", "ship", "table"]
+__all__ = ["settled", "shared_dir", "ship", "sweep", "table"]

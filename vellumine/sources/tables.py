@@ -57,4 +57,17 @@ def settled(df: DataFrame, spark: SparkSession | None = None, columns: list[str]
     df = df.select(*columns) if columns else df
     path = f"{shared_dir(spark).rstrip('/')}/vellumine-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    written = getattr(spark.sparkContext, "_vellumine_settled", [])
+    spark.sparkContext._vellumine_settled = [*written, path]
     return spark.read.schema(df.schema).parquet(path)
+
+
+def sweep(spark: SparkSession) -> int:
+    """Deletes the tables that ``settled`` wrote in this session, once their results are no longer read; gives their number."""
+    paths = getattr(spark.sparkContext, "_vellumine_settled", [])
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        where = jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(conf).delete(where, True)
+    spark.sparkContext._vellumine_settled = []
+    return len(paths)

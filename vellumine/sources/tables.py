@@ -41,7 +41,7 @@ def shared_dir(spark: SparkSession, local_default: str = "/tmp/vellumine-checkpo
         return jsc.getCheckpointDir().get()
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        if not spark.sparkContext.master.startswith("local["):
+        if not (spark.sparkContext.master == "local" or spark.sparkContext.master.startswith("local[")):
             raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         path = local_default
     spark.sparkContext.setCheckpointDir(path)

@@ -109,6 +109,15 @@ def test_queries_agree_with_their_sql(spark):
         assert got == wanted, name
 
 
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
+def test_only_columns_that_are_read_are_scanned(spark):
+    from vellumine.queries import queries
+
+    plan = queries()["paragraphs"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<paper_id:bigint,idx:int,type:string,text:string,text_level:int>" in plan and plan.count("Exchange") == 1
+    assert "PushedFilters: [IsNotNull(paper_id), IsNotNull(idx)]" in plan
+
+
 def test_entry_imports_without_the_optional_part():
     import __spark_entry__ as e
 

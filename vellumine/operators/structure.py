@@ -14,6 +14,9 @@ from vellumine.functions import headings as H
 from vellumine.functions import text as X
 
 ITEM = ["type", "text", "text_level", "page_idx", "img_path", "img_caption", "table_caption", "table_body"]
+#: What the outline, paragraphs and equations read; what figures and tables read besides.
+TEXT = ["type", "text", "text_level"]
+FIGURES, TABLES = [*TEXT, "img_caption", "img_path"], [*TEXT, "table_caption", "table_body"]
 
 
 def _doc():
@@ -28,12 +31,13 @@ def _so_far():
     return _read().rowsBetween(W.unboundedPreceding, W.currentRow)
 
 
-def items(content: DataFrame, doc: str = "paper_id") -> DataFrame:
-    """Layout items ``doc_id, idx`` and ITEM columns, each row once; rows without document or place are left out.
+def items(content: DataFrame, doc: str = "paper_id", columns: list[str] | None = None) -> DataFrame:
+    """Layout items ``doc_id, idx`` and ITEM *columns* (all, or those named), each row once; rows without document or place are left out.
 
-    The shuffle by document comes first, so that dropping repeated rows and all later windows need no other.
+    The shuffle by document comes first, so that dropping repeated rows and all later windows need no other. Name the
+    columns that are read, so that no other is scanned or moved.
     """
-    rows = content.filter(F.col(doc).isNotNull() & F.col("idx").isNotNull()).select(F.col(doc).alias("doc_id"), "idx", *ITEM)
+    rows = content.filter(F.col(doc).isNotNull() & F.col("idx").isNotNull()).select(F.col(doc).alias("doc_id"), "idx", *(columns or ITEM))
     return rows.repartition("doc_id").distinct()
 
 

@@ -31,12 +31,15 @@ def p1_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layout_tree.layout_blocks(table(spark, sf_dir, "middle_json", ["rec_id", "pdf_info"]))
 
 
-def _items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return S.items(table(spark, sf_dir, "content_list"))
+def _items(spark: SparkSession, sf_dir: str, columns: list[str] = S.TEXT) -> DataFrame:
+    return S.items(table(spark, sf_dir, "content_list"), columns=columns)
 
 
-def _outline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return S.outlined(_items(spark, sf_dir))
+def _outline(spark: SparkSession, sf_dir: str, columns: list[str] = S.TEXT) -> DataFrame:
+    return S.outlined(_items(spark, sf_dir, columns))
+
+
+_FLAT = [*S.TEXT, "img_caption", "table_caption"]
 
 
 def headers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,19 +96,19 @@ def document_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def figures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return S.figures(_outline(spark, sf_dir))
+    return S.figures(_outline(spark, sf_dir, S.FIGURES))
 
 
 def tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return S.tables(_outline(spark, sf_dir))
+    return S.tables(_outline(spark, sf_dir, S.TABLES))
 
 
 def figures_unbounded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return S.figures(_outline(spark, sf_dir), bounded=False)
+    return S.figures(_outline(spark, sf_dir, S.FIGURES), bounded=False)
 
 
 def tables_unbounded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return S.tables(_outline(spark, sf_dir), bounded=False)
+    return S.tables(_outline(spark, sf_dir, S.TABLES), bounded=False)
 
 
 def formulae(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -283,12 +286,12 @@ def cleaned_inline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def flat_schema_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flat = pipeline.flat_schema(_items(spark, sf_dir))
+    flat = pipeline.flat_schema(_items(spark, sf_dir, _FLAT))
     return flat.select("doc_id", *(F.size(c).cast("long").alias(f"n_{c}") for c in ("sections", "paragraphs", "equations", "figures", "tables")))
 
 
 def _merged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pipeline.merged(_documents(spark, sf_dir), pipeline.flat_schema(_items(spark, sf_dir)))
+    return pipeline.merged(_documents(spark, sf_dir), pipeline.flat_schema(_items(spark, sf_dir, _FLAT)))
 
 
 def document_status(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -323,7 +326,7 @@ def body_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def figures_and_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tree.figures_and_tables(_outline(spark, sf_dir))
+    return tree.figures_and_tables(_outline(spark, sf_dir, [*S.FIGURES, *S.TABLES[3:]]))
 
 
 _STRUCTURE: list[Query] = [

@@ -27,6 +27,7 @@ STATS = ["log_words", "word_length", "symbol_ratio", "digit_ratio", "upper_ratio
 #: The least deviation of each statistic that counts: a statistic that is all but constant in prose gets this spread.
 LEAST = np.array([0.5, 0.3, 0.02, 0.03, 0.03, 0.15, 0.05, 0.03, 0.05])
 _WORD = re.compile(r"[^\W\d_]+(?:['’-][^\W\d_]+)*")
+_LETTERS = re.compile(r"[^\W\d_]+")
 _NUMBER = re.compile(r"\d+")
 _PIECE = re.compile(r"[^.!?…]*[.!?…]*", re.S)
 _END = ('.', '!', '?', ':', ';', '…', '"', '”')
@@ -82,13 +83,13 @@ def sentence_share(text: str, common: dict[str, frozenset[str]]) -> float:
 def statistics(text: str, lang: str | None, common: dict[str, frozenset[str]]) -> tuple:
     """(language, each of STATS) of one text; a text without words has zero shares. Look-alike letters count as plain ones."""
     text = look(text)
-    words = [w.lower() for w in _WORD.findall(text)]
+    words = _WORD.findall(text.lower())
     told = lang if lang in common else best_language(common, words)
     usual = common.get(told, frozenset()) if told else frozenset()
     chars = len(text) or 1
-    solid = sum(not c.isspace() for c in text)
-    letters = sum(c.isalpha() for c in text)
-    digits = sum(c.isdigit() for c in text)
+    solid = len("".join(text.split()))
+    letters = len("".join(_LETTERS.findall(text)))
+    digits = len("".join(_NUMBER.findall(text)))
     lines = [x for x in (y.rstrip() for y in text.split("\n")) if x]
     n = len(words) or 1
     return (
@@ -97,10 +98,10 @@ def statistics(text: str, lang: str | None, common: dict[str, frozenset[str]]) -
         sum(map(len, words)) / n,
         (solid - letters - digits) / (solid or 1),
         digits / (solid or 1),
-        sum(c.isupper() for c in text) / chars,
+        sum(map(str.isupper, text)) / chars,
         sum(x.endswith(_END) for x in lines) / (len(lines) or 1),
-        sum(w in usual for w in words) / n,
-        sum(len(w) == 1 for w in words) / n,
+        sum(map(usual.__contains__, words)) / n,
+        list(map(len, words)).count(1) / n,
         sentence_share(text, common),
     )
 
@@ -160,35 +161,39 @@ def prose_model(stats: DataFrame, rounds: int = 4) -> Model:
     within the 0.999 quantile of the last estimate. All documents take part at every round. Languages of fewer than 40 documents use the model of all.
     """
     d = len(STATS)
-    some = stats.withColumn("lang_used", F.coalesce("lang_used", F.lit("")))
-    some = some.unionByName(some.withColumn("lang_used", F.lit("")))  # the empty name: all documents
-    medians = some.groupBy("lang_used").agg(F.count("*").alias("n"), *(F.percentile_approx(s, 0.5, 1000).alias(s) for s in STATS)).collect()
-    centre = {r["lang_used"]: np.array([r[s] for s in STATS]) for r in medians if r["n"] >= 40 or r["lang_used"] == ""}
+    some = stats.select(F.coalesce("lang_used", F.lit("")).alias("lang_used"), *STATS)
+    middle = [F.percentile_approx(s, 0.5, 1000).alias(s) for s in STATS]
+    rows = [*some.filter("lang_used <> ''").groupBy("lang_used").agg(F.count("*").alias("n"), *middle).filter("n >= 40").collect()]
+    rows += some.agg(F.lit("").alias("lang_used"), F.count("*").alias("n"), *middle).filter("n > 0").collect()
+    centre = {r["lang_used"]: np.array([r[s] for s in STATS]) for r in rows}
     if not centre:
         return {}
 
+    def parts(pdf: pd.DataFrame, model: dict) -> Iterator[tuple[str, np.ndarray]]:
+        """The rows of each language that has a model, and, under the empty name, all rows."""
+        yield "", pdf[STATS].to_numpy()
+        for lang, part in pdf.groupby("lang_used"):
+            if lang and lang in model:
+                yield lang, part[STATS].to_numpy()
+
     def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            pdf = pdf[pdf["lang_used"].isin(list(centre))]
-            if len(pdf):
-                at = np.stack([centre[lang] for lang in pdf["lang_used"]])
-                yield pd.concat([pdf[["lang_used"]].reset_index(drop=True), pd.DataFrame(np.abs(pdf[STATS].to_numpy() - at), columns=STATS)], axis=1)
+            for lang, x in parts(pdf, centre):
+                yield pd.DataFrame(np.abs(x - centre[lang]), columns=STATS).assign(lang_used=lang)[["lang_used", *STATS]]
 
     schema = "lang_used string, " + ", ".join(f"{s} double" for s in STATS)
-    mads = some.select("lang_used", *STATS).mapInPandas(spread, schema).groupBy("lang_used").agg(*(F.percentile_approx(s, 0.5, 1000).alias(s) for s in STATS)).collect()
+    mads = some.mapInPandas(spread, schema).groupBy("lang_used").agg(*middle).collect()
     model: Model = {r["lang_used"]: (centre[r["lang_used"]], np.diag(1 / np.maximum(1.4826 * np.array([r[s] for s in STATS]), LEAST) ** 2)) for r in mads}
     within = chi2_quantile(d)
     for _ in range(rounds):
 
         def moments(batches: Iterator[pd.DataFrame], model=model) -> Iterator[pd.DataFrame]:
             for pdf in batches:
-                for lang, part in pdf.groupby("lang_used"):
-                    if lang in model:
-                        x = part[STATS].to_numpy()
-                        x = x[_squared(x, model[lang])[0] <= within]
-                        yield pd.DataFrame({"lang_used": [lang], "n": [len(x)], "s": [x.sum(axis=0).tolist()], "ss": [(x.T @ x).ravel().tolist()]})
+                for lang, x in parts(pdf, model):
+                    x = x[_squared(x, model[lang])[0] <= within]
+                    yield pd.DataFrame({"lang_used": [lang], "n": [len(x)], "s": [x.sum(axis=0).tolist()], "ss": [(x.T @ x).ravel().tolist()]})
 
-        sums = some.select("lang_used", *STATS).mapInPandas(moments, "lang_used string, n long, s array<double>, ss array<double>")
+        sums = some.mapInPandas(moments, "lang_used string, n long, s array<double>, ss array<double>")
         total = sums.groupBy("lang_used").agg(F.sum("n").alias("n"), *(F.sum(F.get("s", F.lit(i))).alias(f"s{i}") for i in range(d)), *(F.sum(F.get("ss", F.lit(i))).alias(f"q{i}") for i in range(d * d))).collect()
         fresh: Model = {}
         for r in total:

@@ -27,7 +27,6 @@ STATS = ["log_words", "word_length", "symbol_ratio", "digit_ratio", "upper_ratio
 #: The least deviation of each statistic that counts: a statistic that is all but constant in prose gets this spread.
 LEAST = np.array([0.5, 0.3, 0.02, 0.03, 0.03, 0.15, 0.05, 0.03, 0.05])
 _WORD = re.compile(r"[^\W\d_]+(?:['’-][^\W\d_]+)*")
-_LETTERS = re.compile(r"[^\W\d_]+")
 _NUMBER = re.compile(r"\d+")
 _PIECE = re.compile(r"[^.!?…]*[.!?…]*", re.S)
 _END = ('.', '!', '?', ':', ';', '…', '"', '”')
@@ -39,16 +38,20 @@ def best_language(common: dict[str, frozenset[str]], words: list[str]) -> str |
     return best[1] if best[0] else None
 
 
-def _running(line: str, common: dict[str, frozenset[str]]) -> tuple[int, int, int]:
+def read_lines(text: str) -> list[tuple[str, list[str], list[str]]]:
+    """(line, its words in lower case, its numbers) of each line; no word or number reaches over a line end."""
+    return [(line, _WORD.findall(line.lower()), _NUMBER.findall(line)) for line in text.split("\n")]
+
+
+def _running(line: str, words: list[str], numbers: list[str], common: dict[str, frozenset[str]]) -> tuple[int, int, int]:
     """(characters, words, common words of the language that has most) of a line; numbers count among the words."""
-    words = _WORD.findall(line.lower())
-    n = len(words) + len(_NUMBER.findall(line))
-    if sum(map(len, words)) * 2 < len(line) - line.count(" "):
+    n = len(words) + len(numbers)
+    if len("".join(words)) * 2 < len(line) - line.count(" "):
         return len(line), n, 0  # what is mostly signs or digits runs in no language
-    return len(line), n, max((sum(map(usual.__contains__, words)) for usual in common.values()), default=0)
+    return len(line), n, max([sum(map(usual.__contains__, words)) for usual in common.values()], default=0)
 
 
-def sentence_share(text: str, common: dict[str, frozenset[str]]) -> float:
+def sentence_share(text: str, common: dict[str, frozenset[str]], read: list[tuple[str, list[str], list[str]]] | None = None) -> float:
     """The share of the characters that belong to running sentences.
 
     A stretch of lines is running text if at least three in ten of its words (numbers count as words) are common
@@ -56,7 +59,7 @@ def sentence_share(text: str, common: dict[str, frozenset[str]]) -> float:
     is judged with its neighbours in proportion to their length, so that a short line of a hard-wrapped
     paragraph follows the paragraph; a line alone between lines of another kind is judged by itself.
     """
-    lines = [(x, *_running(x, common)) for x in text.split("\n") if x.strip()]
+    lines = [(x[0], *_running(*x, common)) for x in (read if read is not None else read_lines(text)) if x[0].strip()]
     total = sum(x[1] for x in lines)
     if not total:
         return 0.0
@@ -72,7 +75,7 @@ def sentence_share(text: str, common: dict[str, frozenset[str]]) -> float:
         if words >= 60:
             good_chars = 0
             for piece in _PIECE.findall(line):
-                c, w, h = _running(piece, common)
+                c, w, h = _running(*read_lines(piece)[0], common)
                 good_chars += c if w >= 4 and h >= 0.3 * w else 0
             inside += min(chars, good_chars)
         elif good:
@@ -83,14 +86,16 @@ def sentence_share(text: str, common: dict[str, frozenset[str]]) -> float:
 def statistics(text: str, lang: str | None, common: dict[str, frozenset[str]]) -> tuple:
     """(language, each of STATS) of one text; a text without words has zero shares. Look-alike letters count as plain ones."""
     text = look(text)
-    words = _WORD.findall(text.lower())
+    read = read_lines(text)
+    words = [w for _, found, _ in read for w in found]
     told = lang if lang in common else best_language(common, words)
     usual = common.get(told, frozenset()) if told else frozenset()
     chars = len(text) or 1
     solid = len("".join(text.split()))
-    letters = len("".join(_LETTERS.findall(text)))
-    digits = len("".join(_NUMBER.findall(text)))
-    lines = [x for x in (y.rstrip() for y in text.split("\n")) if x]
+    joined = "".join(words)
+    letters = len(joined) - sum(map(joined.count, "'’-"))
+    digits = sum(len("".join(numbers)) for _, _, numbers in read)
+    lines = [x for x in (y.rstrip() for y, _, _ in read) if x]
     n = len(words) or 1
     return (
         told,
@@ -102,7 +107,7 @@ def statistics(text: str, lang: str | None, common: dict[str, frozenset[str]]) -
         sum(x.endswith(_END) for x in lines) / (len(lines) or 1),
         sum(map(usual.__contains__, words)) / n,
         list(map(len, words)).count(1) / n,
-        sentence_share(text, common),
+        sentence_share(text, common, read),
     )
 
 

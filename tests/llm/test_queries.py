@@ -5,6 +5,7 @@ import os
 import duckdb
 import pytest
 
+from vellumine.llm.confusables import look
 from vellumine.llm.oracle import oracle_sql
 from vellumine.llm.queries import queries
 
@@ -35,3 +36,13 @@ def test_sql(spark, name):
     result = con.execute(oracle_sql()[name])
     at = [[x[0] for x in result.description].index(c) for c in cols]
     assert sorted(tuple(r[c] for c in cols) for r in df.collect()) == sorted(tuple(r[i] for i in at) for r in result.fetchall())
+
+
+def test_one_form_of_both_tables(spark):
+    got = queries()["p4_one_form"](spark, SF)
+    assert dict(got.dtypes) == {"tbl": "string", "key": "bigint", "look": "string"}
+    got, con = got.collect(), duckdb.connect()
+    for tbl, key, text in (("content_list", "item_id", "text"), ("ref_records", "ref_key", "raw_text")):
+        dealt = con.execute(f"SELECT {key}, {text} FROM '{SF}/{tbl}.parquet'").fetchall()
+        order = lambda x: (x[0], x[1] is not None, x[1] or "")
+        assert sorted(((r["key"], r["look"]) for r in got if r["tbl"] == tbl), key=order) == sorted(((k, None if t is None else look(t)) for k, t in dealt), key=order)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from vellumine.llm import confusables, leaks, mixing, names, ocr, quality, site_lines
 from vellumine.sources.tables import table
@@ -45,7 +46,12 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p4_one_form(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return confusables.one_form(table(spark, sf_dir, "ref_records", ["ref_key", "raw_text"]), "raw_text")
+    out = None
+    for name, key, text in (("content_list", "item_id", "text"), ("ref_records", "ref_key", "raw_text")):
+        forms = confusables.one_form(table(spark, sf_dir, name, [key, text]), text)
+        forms = forms.select(F.lit(name).alias("tbl"), F.col(key).cast("long").alias("key"), "look")
+        out = forms if out is None else out.unionByName(forms)
+    return out
 
 
 _CONTENT = ["item_id", "paper_id", "source", "type", "text", "text_level"]

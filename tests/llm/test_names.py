@@ -47,6 +47,14 @@ def test_venues_and_kinds_apart(spark):
     assert got == [("source", *p) for p in wanted(VENUES, [range(0, 8), range(8, 10), range(10, 13)])]
 
 
+WORDS = [("Nature", 20), ("NATURE", 4), ("Natrue", 1), ("Optica", 9), ("Optica.", 2), ("Opticca", 1), ("Cell", 6), ("JPO", 3), ("JPA", 2), ("of the", 2), ("in", 1)]
+
+
+def test_venues_of_one_word(spark):
+    got = rows(N.variant_pairs(N.linked(refs(spark, [], WORDS + VENUES[:3]))), "kind", "name_lo", "name_hi")
+    assert got == sorted(("source", *p) for p in wanted(WORDS, [range(0, 3), range(3, 6)]) + wanted([*VENUES[:3], ("JPO", 3)], [range(0, 4)]))
+
+
 def test_same_result_whatever_the_partitions(spark):
     df = refs(spark, PEOPLE, VENUES)
     assert rows(N.linked(df)) == rows(N.linked(df.repartition(7).orderBy("ref_key", ascending=False)))

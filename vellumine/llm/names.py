@@ -215,9 +215,10 @@ def _words_loglik(typed: list[str], form: list[str]) -> float:
 
 
 def attach_venues(block: list[tuple[str, int, list[str]]]) -> list[int]:
-    """As attach_persons, for (spelling, count, words) of one acronym. A one-word spelling may be the acronym itself."""
-    spelled = [i for i in range(len(block)) if len(block[i][2]) > 1]
-    letters = [i for i in range(len(block)) if len(block[i][2]) <= 1]
+    """As attach_persons, for (spelling, count, words) of one acronym. A one-word spelling may be the acronym itself;
+    where no venue of several words bears it, it is the venue's name."""
+    spelled = [i for i in range(len(block)) if len(block[i][2]) > 1] or [i for i in range(len(block)) if block[i][2]]
+    letters = sorted(set(range(len(block))) - set(spelled))
     root = list(range(len(block)))
     # longest words first among those that abbreviate one another, else by frequency
     shortened = {i: sum(1 for j in spelled if j != i and len(block[j][2]) == len(block[i][2]) and all(b.startswith(a) for a, b in zip(block[i][2], block[j][2])) and any(len(b) > len(a) + 1 for a, b in zip(block[i][2], block[j][2]))) > 0 for i in spelled}
@@ -334,7 +335,8 @@ def _keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 firsts = {g[:1], *(full[0] for full in _NICK.get(g, ()))}
                 keys = {f"s|{g[:1]}|{d}" for d in deletions(row.a)} | {f"i|{row.a}|{x}" for x in firsts} | ({f"g|{row.a}|{d}" for d in deletions(g)} if len(g) > 3 else set())
             else:
-                keys = {f"v|{d}" for d in deletions(row.a)} if row.words is not None and len(row.words) > 1 else set()
+                few = len(row.words) if row.words is not None else 0
+                keys = {f"{'v' if few > 1 else 'w'}|{d}" for d in deletions(row.a)} if few else set()
             out.extend((k, *row) for k in keys)
         yield pd.DataFrame(out, columns=["key", "kind", "form", "a", "total", "forms", "given", "middle", "words"])
 

@@ -74,8 +74,18 @@ def test_boxes(spark):
     assert value(spark, G.touches(boxed(0, 0, 1, 1), boxed(1, 1, 2, 2))) is True
 
 
-def test_unknown_latex_never_raises():
-    assert latex.to_unicode(r"\unknown{a} \alpha") == "a α"
-    for text in ("", "\\", "$", "{", r"\frac{", r"\sqrt", "$$", r"\lambda\Lambda\varepsilon"):
-        latex.to_unicode(text)
-        latex.clean_inline(text)
+@pytest.mark.parametrize(
+    "text, wanted",
+    [
+        (r"\unknown{a} \alpha", "a α"), (r"\frac{\frac{a}{b}}{\sqrt{\frac{1}{\frac{2}{\frac{3}{\frac{4}{5}}}}}}", "a/b/√(1/2/3/4/5)"), (r"\left( \mathbf{x} \right)", "( x )"),
+        (r"\hat{x} + \bar y", "x̂ + ȳ"), (r"caf\'e", "café"), (r"\begin{array}{cc} a & b \\ c \end{array}", " a & b   c "), (r"\Omega \varepsilon \sin x", "Ωεsinx"), (r"10\%\, \{a\}", "10%  a"),
+        ("", ""), ("\\", ""), ("$", "$"), (r"\frac{", ""), (r"\sqrt", ""),
+    ],
+)
+def test_latex(spark, text, wanted):
+    assert value(spark, latex.to_unicode(F.lit(text))) == wanted
+
+
+def test_inline_formulas(spark):
+    for text, wanted in [("a $x$ b $ y + z $ $", "a x b y + z $"), (r"$ \alpha $ and $ 3 \mathrm { n m } $", "α and 3nm"), ("no formula  here", "no formula  here"), ("$a\nb$", "$a\nb$")]:
+        assert value(spark, latex.cleaned_inline(F.lit(text))) == wanted

@@ -6,69 +6,68 @@ by document.
 
 from __future__ import annotations
 
-import re
-
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from vellumine.functions import text as X
-from vellumine.functions.latex import clean_inline
-
-_BAD = [re.compile("|".join(map(re.escape, X.PHRASES)), re.I), re.compile(X.ISBN), re.compile(X.COPYRIGHT, re.I), re.compile(X.YEAR_PUBLISHER, re.I)]
+from vellumine.functions.latex import cleaned_inline
 
 
-def bad(text: str | None) -> bool:
-    return any(p.search(text or "") for p in _BAD)
+def marked(items: DataFrame) -> DataFrame:
+    """``doc_id, idx, type, text, text_level, bad, clean``: whether a row holds boilerplate, and what its text becomes if
+    it is kept: line ends taken out and blanks collapsed where there are any, formulas tidied. Null texts are empty."""
+    rows = items.select("doc_id", "idx", "type", F.coalesce("text", F.lit("")).alias("text"), "text_level")
+    flat = F.when(F.instr("text", "\n") > 0, F.regexp_replace(F.replace("text", F.lit("\n"), F.lit("")), r"(?U)\s+", " ")).otherwise(F.col("text"))
+    return rows.withColumns({"bad": X.is_boilerplate(F.col("text")), "clean": F.when(F.col("type") == "text", cleaned_inline(flat)).otherwise(F.col("text"))})
 
 
 def fold(rows: list[dict]) -> tuple[list[dict], str | None]:
-    """The cleaned rows (``type, text, text_level`` and others), or none and an error code.
+    """The cleaned rows of one document (``type, text, text_level, bad, clean``), or none and an error code.
 
     A bad row needs a running text before it among the rows kept and one after it, which may be bad itself; if the one
-    before doesn't end in a full stop, the one after is appended to it as it stands and taken out. At the end all rows
-    that are bad by then are taken out. Rows are told apart by place, not by content.
+    before doesn't end in a full stop, the one after is appended to it as it stands and taken out. Rows are told apart
+    by place, not by content. A row that has become bad by an addition stays here; ``cleaned`` takes it out.
     """
     running = lambda r: r["type"] == "text" and not r["text_level"]
-    rows = [dict(r, text=r["text"] or "") for r in rows]
     kept: list[dict] = []
-    i = 0
-    while i < len(rows):
-        row = rows[i]
-        if not bad(row["text"]):
-            if row["type"] == "text":
-                if "\n" in row["text"]:
-                    row["text"] = re.sub(r"\s+", " ", row["text"].replace("\n", ""))
-                row["text"] = clean_inline(row["text"])
-            kept.append(row)
-        else:
-            before = next((r for r in reversed(kept) if running(r)), None)
-            after = next((j for j in range(i + 1, len(rows)) if running(rows[j])), None)
-            if before is None or after is None:
-                return [], "BAD_ENTRY_NO_NEIGHBOUR"
-            if not before["text"].endswith("."):
-                before["text"] += " " + rows[after]["text"]
-                del rows[after]
-        i += 1
-    return [r for r in rows if not bad(r["text"])], None
+    taken: set[int] = set()
+    for i, row in enumerate(rows):
+        if i in taken:
+            continue
+        if not row["bad"]:
+            kept.append(dict(row, text=row["clean"]))
+            continue
+        before = next((r for r in reversed(kept) if running(r)), None)
+        after = next((j for j in range(i + 1, len(rows)) if j not in taken and running(rows[j])), None)
+        if before is None or after is None:
+            return [], "BAD_ENTRY_NO_NEIGHBOUR"
+        if not before["text"].endswith("."):
+            before["text"] += " " + rows[after]["text"]
+            taken.add(after)
+    return kept, None
 
 
 def cleaned(items: DataFrame) -> DataFrame:
     """``doc_id, idx, type, text, text_level, error_code``: the items after the fold, at their old places.
 
+    Only documents with a bad row go through the fold; the rows of all others are given as they are marked, in the JVM.
     A document that cannot be cleaned gives one row with an error code and no place. Null texts count as empty.
     """
     doc = items.schema["doc_id"].dataType.simpleString()
 
     def run(ids: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("idx", kind="stable")
-        rows = [{"idx": i, "type": t, "text": x, "text_level": None if pd.isna(v) else int(v)} for i, t, x, v in zip(pdf["idx"], pdf["type"], pdf["text"], pdf["text_level"])]
+        columns = ["idx", "type", "text", "text_level", "bad", "clean"]
+        rows = [dict(zip(columns, (i, t, x, None if pd.isna(v) else int(v), b, c))) for i, t, x, v, b, c in pdf.sort_values("idx", kind="stable")[columns].itertuples(index=False)]
         out, error = fold(rows)
         table = [(ids[0], r["idx"], r["type"], r["text"], r["text_level"], None) for r in out] if not error else [(ids[0], None, None, None, None, error)]
         return pd.DataFrame(table, columns=["doc_id", "idx", "type", "text", "text_level", "error_code"]).astype({"idx": "Int32", "text_level": "Int32"})
 
-    return items.select("doc_id", "idx", "type", "text", "text_level").groupBy("doc_id").applyInPandas(run, f"doc_id {doc}, idx int, type string, text string, text_level int, error_code string")
+    rows = marked(items).withColumn("any_bad", F.max("bad").over(W.partitionBy("doc_id")))
+    sound = rows.filter("not any_bad").select("doc_id", "idx", "type", F.col("clean").alias("text"), "text_level", F.lit(None).cast("string").alias("error_code"))
+    folded = rows.filter("any_bad").groupBy("doc_id").applyInPandas(run, f"doc_id {doc}, idx int, type string, text string, text_level int, error_code string")
+    return sound.unionByName(folded).filter(F.col("error_code").isNotNull() | ~X.is_boilerplate(F.col("text")))
 
 
 def bad_entries(items: DataFrame) -> DataFrame:

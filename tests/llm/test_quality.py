@@ -51,22 +51,39 @@ def test_contributions_add_up_to_the_distance(tables):
         assert sum(r[f"c_{s}"] for s in Q.STATS) == pytest.approx(r["distance2"], rel=1e-6, abs=1e-6)
 
 
+def reader():
+    return Q.Reader({"en": frozenset(EN), "de": frozenset(DE)})
+
+
 def test_statistics_by_hand():
-    common = {"en": frozenset(EN)}
-    lang, *stats = Q.statistics("The cat is 12!\nNo", None, common)
-    got = dict(zip(Q.STATS, stats))
-    assert lang == "en" and got["word_length"] == pytest.approx((3 + 3 + 2 + 2) / 4) and got["digit_ratio"] == pytest.approx(2 / 13) and got["symbol_ratio"] == pytest.approx(1 / 13)
-    assert got["line_end_share"] == 0.5 and got["common_share"] == 0.5
-    assert Q.statistics("", None, common)[1:] == (0.0,) * len(Q.STATS)
+    one = reader().statistics(["The cat is 12!\nNo aB", "", "12"], [None, "en", "xx"])
+    got = one.iloc[0]
+    assert got["lang_used"] == "en" and got["chars"] == 15 and got["word_length"] == pytest.approx((3 + 3 + 2 + 2 + 2) / 5) and got["digit_ratio"] == pytest.approx(2 / 15) and got["symbol_ratio"] == pytest.approx(1 / 15)
+    assert got["line_end_share"] == 0.5 and got["common_share"] == pytest.approx(2 / 5) and got["odd_case_share"] == pytest.approx(1 / 5)
+    assert one.iloc[1].tolist()[1:] == [0] * 9 and one.iloc[2]["digit_ratio"] == 1 and one.iloc[2]["lang_used"] is None
+
+
+def test_passages_hold_the_whole_text():
+    for lines in ([], ["a"], ["x" * 999], ["ab " * 300, "c"], ["short"] * 200):
+        assert "".join("".join(Q.passages(lines)).split()) == "".join("".join(lines).split())
+        assert all(len(p) <= 4 * Q.PASSAGE for p in Q.passages(lines))
 
 
-def test_mixed_text_is_measured_by_characters():
+@pytest.mark.parametrize("lines, is_prose", [(8, True), (60, False)])
+def test_the_greater_part_decides(tables, spark, lines, is_prose):
+    docs, common, _ = tables
     rng = random.Random(2)
-    common = {"en": frozenset(EN)}
-    text, table = prose(rng, EN, 80), "\n".join("1.5\t2.5\t3.5" for _ in range(30))
-    share = Q.sentence_share(f"{text}\n{table}", common)
-    assert share == pytest.approx(len(text) / (len(text) + 30 * 11), abs=0.02)
-    assert Q.sentence_share(table, common) == 0 and Q.sentence_share("", common) == 0
+    text = prose(rng, EN, 80) + "\n" + "\n".join("1.5\t2.5\t3.5" for _ in range(lines))
+    more = docs.union(spark.createDataFrame([(1000, text, "en", "x"), (1001, "\n".join(reversed(text.split("\n"))), None, "x")], docs.schema))
+    found = {r[0] for r in Q.not_prose(Q.quality(more, common)).collect()}
+    assert ({1000, 1001} & found == set()) is is_prose
+
+
+def test_capitals_and_other_languages_are_prose(tables, spark):
+    docs, common, _ = tables
+    rng = random.Random(3)
+    more = docs.union(spark.createDataFrame([(1000, prose(rng, EN, 150).upper(), "en", "x"), (1001, prose(rng, DE, 150), "en", "x")], docs.schema))
+    assert not {1000, 1001} & {r[0] for r in Q.not_prose(Q.quality(more, common)).collect()}
 
 
 def test_empty_tables(tables):

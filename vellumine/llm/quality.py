@@ -1,9 +1,11 @@
 """Per-document text statistics, and the documents that are not prose.
 
-Each document is reduced to a row of statistics. For each language the mean and covariance of prose are estimated
-robustly over all documents: from coordinate-wise medians, the estimate is concentrated in a few rounds on the
-documents near it. The Mahalanobis distance of a document from its language's prose is the sum of its
-statistics' contributions, which are reported.
+Each document is reduced to a row of statistics. Ratios are taken of passages of some two hundred characters, and the
+document's value is the median over its passages by characters: what more than half of its characters are decides it,
+whatever the rest is. For each language the mean and covariance of prose are estimated robustly over all documents: from
+medians and quartiles, the estimate is concentrated in a few rounds on the documents near it. The Mahalanobis distance
+of a document from its language's prose is the sum of its statistics' contributions, which are reported, and it alone
+decides: a document is no prose if it is further than a text with half the common words of that prose must be.
 
 Texts are read once; the rounds pass over the statistics alone and return moments whose size is fixed by the number
 of statistics and of languages.
@@ -12,8 +14,8 @@ of statistics and of languages.
 from __future__ import annotations
 
 import math
-import re
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -23,92 +25,110 @@ from pyspark.sql import functions as F
 from vellumine.llm.confusables import look
 from vellumine.sources.tables import settled
 
-STATS = ["log_words", "word_length", "symbol_ratio", "digit_ratio", "upper_ratio", "line_end_share", "common_share", "single_share", "sentence_share"]
-#: The least deviation of each statistic that counts: a statistic that is all but constant in prose gets this spread.
-LEAST = np.array([0.5, 0.3, 0.02, 0.03, 0.03, 0.15, 0.05, 0.03, 0.05])
-_WORD = re.compile(r"[^\W\d_]+(?:['’-][^\W\d_]+)*")
-_NUMBER = re.compile(r"\d+")
-_PIECE = re.compile(r"[^.!?…]*[.!?…]*", re.S)
-_END = ('.', '!', '?', ':', ';', '…', '"', '”')
-
-
-def best_language(common: dict[str, frozenset[str]], words: list[str]) -> str | None:
-    """The language whose common words are most frequent in a text; null if there is none."""
-    best = max(((sum(w in common[c] for w in words), c) for c in sorted(common)), default=(0, None))
-    return best[1] if best[0] else None
-
-
-def read_lines(text: str) -> list[tuple[str, list[str], list[str]]]:
-    """(line, its words in lower case, its numbers) of each line; no word or number reaches over a line end."""
-    return [(line, _WORD.findall(line.lower()), _NUMBER.findall(line)) for line in text.split("\n")]
-
-
-def _running(line: str, words: list[str], numbers: list[str], common: dict[str, frozenset[str]]) -> tuple[int, int, int]:
-    """(characters, words, common words of the language that has most) of a line; numbers count among the words."""
-    n = len(words) + len(numbers)
-    if len("".join(words)) * 2 < len(line) - line.count(" "):
-        return len(line), n, 0  # what is mostly signs or digits runs in no language
-    return len(line), n, max([sum(map(usual.__contains__, words)) for usual in common.values()], default=0)
-
-
-def sentence_share(text: str, common: dict[str, frozenset[str]], read: list[tuple[str, list[str], list[str]]] | None = None) -> float:
-    """The share of the characters that belong to running sentences.
-
-    A stretch of lines is running text if at least three in ten of its words (numbers count as words) are common
-    words of one language, whichever it is, which holds for sentences but not for lists, tables, references or garbled words. A line
-    is judged with its neighbours in proportion to their length, so that a short line of a hard-wrapped
-    paragraph follows the paragraph; a line alone between lines of another kind is judged by itself.
-    """
-    lines = [(x[0], *_running(*x, common)) for x in (read if read is not None else read_lines(text)) if x[0].strip()]
-    total = sum(x[1] for x in lines)
-    if not total:
-        return 0.0
-    inside = 0
-    for i, (line, chars, words, hits) in enumerate(lines):
-        if words >= 12:
-            good = hits >= 0.3 * words
-        else:
-            near = [lines[j] for j in (i - 1, i, i + 1) if 0 <= j < len(lines)]
-            w, h = sum(x[2] for x in near), sum(x[3] for x in near)
-            good = w > 3 and h >= 0.3 * w and (words < 4 or hits >= 0.15 * words) and hits > 0
-        # a line of many sentences' worth is cut, so that one long line cannot hide a table
-        if words >= 60:
-            good_chars = 0
-            for piece in _PIECE.findall(line):
-                c, w, h = _running(*read_lines(piece)[0], common)
-                good_chars += c if w >= 4 and h >= 0.3 * w else 0
-            inside += min(chars, good_chars)
-        elif good:
-            inside += chars
-    return inside / total
-
-
-def statistics(text: str, lang: str | None, common: dict[str, frozenset[str]]) -> tuple:
-    """(language, each of STATS) of one text; a text without words has zero shares. Look-alike letters count as plain ones."""
-    text = look(text)
-    read = read_lines(text)
-    words = [w for _, found, _ in read for w in found]
-    told = lang if lang in common else best_language(common, words)
-    usual = common.get(told, frozenset()) if told else frozenset()
-    chars = len(text) or 1
-    solid = len("".join(text.split()))
-    joined = "".join(words)
-    letters = len(joined) - sum(map(joined.count, "'’-"))
-    digits = sum(len("".join(numbers)) for _, _, numbers in read)
-    lines = [x for x in (y.rstrip() for y, _, _ in read) if x]
-    n = len(words) or 1
-    return (
-        told,
-        math.log1p(len(words)),
-        sum(map(len, words)) / n,
-        (solid - letters - digits) / (solid or 1),
-        digits / (solid or 1),
-        sum(map(str.isupper, text)) / chars,
-        sum(x.endswith(_END) for x in lines) / (len(lines) or 1),
-        sum(map(usual.__contains__, words)) / n,
-        list(map(len, words)).count(1) / n,
-        sentence_share(text, common, read),
-    )
+STATS = ["log_words", "word_length", "symbol_ratio", "digit_ratio", "odd_case_share", "line_end_share", "common_share", "single_share"]
+COMMON = STATS.index("common_share")
+#: The characters of a passage, and the finest step of a ratio in it: no deviation below that step counts.
+PASSAGE = 200
+STEP = 1 / PASSAGE
+_END = ".!?:;…\"”"
+_BLANKS, _DIGITS = b" \t\n\r\x0b\x0c", b"0123456789"
+_CASES = bytes(97 if 97 <= i <= 122 else 65 if 65 <= i <= 90 else 32 for i in range(256))
+
+
+class _Letters(dict):
+    """Code point -> the letter in lower case, a blank for all else; filled as characters are met."""
+
+    def __missing__(self, code: int) -> str:
+        self[code] = out = chr(code).lower() if chr(code).isalpha() else " "
+        return out
+
+
+_LETTERS = _Letters()
+
+
+def passages(lines: list[str]) -> list[str]:
+    """The lines put together to passages of at least PASSAGE characters; lines of more than two passages are cut, at
+    a blank if there is one near. The last passage takes what is left."""
+    out, some, size = [], [], 0
+    for line in lines:
+        if len(line) > 2 * PASSAGE:
+            if some:
+                out.append("\n".join(some))
+                some, size = [], 0
+            at = 0
+            while len(line) - at > 2 * PASSAGE:
+                cut = line.rfind(" ", at + PASSAGE // 2, at + PASSAGE * 3 // 2)
+                cut = cut if cut > at else at + PASSAGE
+                out.append(line[at:cut])
+                at = cut
+            line = line[at:]
+        some.append(line)
+        size += len(line)
+        if size >= PASSAGE:
+            out.append("\n".join(some))
+            some, size = [], 0
+    if some:
+        out.append("\n".join(some))
+    return out
+
+
+class Reader:
+    """Statistics of texts, given the common words of each language."""
+
+    def __init__(self, common: dict[str, frozenset[str]]):
+        self.langs = sorted(common)
+        # a word's languages as one number, so that one sum counts the hits of all languages
+        self._of: dict[str, int] = {}
+        for k, lang in enumerate(self.langs):
+            for word in common[lang]:
+                self._of[word] = self._of.get(word, 0) | 1 << 16 * k
+
+    def hits(self, packed: int) -> list[int]:
+        return [packed >> 16 * k & 0xFFFF for k in range(len(self.langs))]
+
+    def statistics(self, texts: list[str], langs: list[str | None]) -> pd.DataFrame:
+        """``lang_used, chars`` and STATS of each text; a text without words has zero shares. Look-alike letters count as
+        plain ones. A passage's common words are those of the language that has most of them in it; a word's case is odd
+        if a capital follows a small letter."""
+        rows, first, told, ends, counts, find = [], [], [], [], [], self._of.get
+        for text, lang in zip(texts, langs):
+            lines = [x for x in map(str.rstrip, look(text).split("\n")) if x]
+            first.append(len(rows))
+            ends.append(sum([x[-1] in _END for x in lines]) / (len(lines) or 1))
+            total, in_all = [0] * len(self.langs), 0
+            for part in passages(lines):
+                words, raw = part.translate(_LETTERS).split(), part.encode("utf-8", "replace")
+                hits = self.hits(sum(map(find, words, repeat(0))))
+                total = [a + b for a, b in zip(total, hits)]
+                in_all += len(words)
+                blanks, digits = (len(raw) - len(raw.translate(None, of)) for of in (_BLANKS, _DIGITS))
+                odd = raw.translate(_CASES).count(b"aA")
+                rows.append((len(words), len("".join(words)), len(part), len(part) - blanks, digits, odd, list(map(len, words)).count(1), max(hits, default=0)))
+            counts.append(in_all)
+            told.append(lang if lang in self.langs else self.langs[total.index(max(total))] if any(total) else None)
+        x = np.array(rows, dtype=float).reshape(-1, 8)
+        words, letters, chars, solid, digits, odd, single, hits = x.T
+        n, all_ = np.maximum(words, 1), np.maximum(solid, 1)
+        ratios = {"word_length": letters / n, "symbol_ratio": np.maximum(solid - letters - digits, 0) / all_, "digit_ratio": digits / all_, "odd_case_share": odd / n, "common_share": hits / n, "single_share": single / n}
+        bounds = np.append(first, len(rows)).astype(int)
+        doc = np.repeat(np.arange(len(texts)), np.diff(bounds))
+        out = {"lang_used": told, "chars": np.bincount(doc, solid, len(texts)).astype(int), "log_words": np.log1p(counts), "line_end_share": ends}
+        out |= {name: _medians(value, chars, doc, bounds) for name, value in ratios.items()}
+        return pd.DataFrame(out)[["lang_used", "chars", *STATS]]
+
+
+def _medians(value: np.ndarray, weight: np.ndarray, doc: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Each document's lower weighted median of its passages' values; 0 for a document without any."""
+    out = np.zeros(len(bounds) - 1)
+    if not len(value):
+        return out
+    order = np.lexsort((value, doc))
+    run = np.cumsum(weight[order])
+    before = np.append(0, run)[bounds]  # the documents' passages stay together, so sums are those at their bounds
+    has = np.diff(bounds) > 0
+    half = (before[:-1] + before[1:]) / 2
+    out[has] = value[order][np.searchsorted(run, half[has])]
+    return out
 
 
 def common_word_sets(common_words: DataFrame, most: int = 100_000) -> dict[str, frozenset[str]]:
@@ -123,20 +143,22 @@ def common_word_sets(common_words: DataFrame, most: int = 100_000) -> dict[str,
 
 
 def document_statistics(documents: DataFrame, common_words: DataFrame) -> DataFrame:
-    """``doc_id, lang_used`` and the columns of STATS for each document with text.
+    """``doc_id, lang_used, chars`` and the columns of STATS for each document with text.
 
     *lang_used* is the document's language or, where that is null or has no common words, the one whose common words
-    are most frequent in it; null if there are none. Null texts give no row; an empty text has zero statistics.
+    are most frequent in it; null if there are none. *chars* are the visible characters. Null texts give no row; an empty text has zero statistics.
     """
     common = common_word_sets(common_words)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        reader = Reader(common)
         for pdf in batches:
-            rows = [(d, *statistics(t, lang, common)) for d, t, lang in zip(pdf["doc_id"], pdf["text"], pdf["lang"])]
-            yield pd.DataFrame(rows, columns=["doc_id", "lang_used", *STATS])
+            stats = reader.statistics(pdf["text"].tolist(), pdf["lang"].tolist())
+            stats.insert(0, "doc_id", pdf["doc_id"].to_numpy())
+            yield stats
 
     docs = documents.filter(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang")
-    return docs.mapInPandas(run, "doc_id long, lang_used string, " + ", ".join(f"{s} double" for s in STATS))
+    return docs.mapInPandas(run, "doc_id long, lang_used string, chars long, " + ", ".join(f"{s} double" for s in STATS))
 
 
 def chi2_quantile(d: int, z: float = 3.09) -> float:
@@ -144,98 +166,91 @@ def chi2_quantile(d: int, z: float = 3.09) -> float:
     return d * (1 - 2 / (9 * d) + z * math.sqrt(2 / (9 * d))) ** 3
 
 
-Model = dict[str, tuple[np.ndarray, np.ndarray]]
+#: Language -> mean and inverse covariance of prose, and the squared distance beyond which a text is none.
+Model = dict[str, tuple[np.ndarray, np.ndarray, float]]
 
 
-def _squared(x: np.ndarray, model: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+def _squared(x: np.ndarray, model: tuple) -> tuple[np.ndarray, np.ndarray]:
     """The squared distances and each statistic's contributions, which sum up to them."""
     off = x - model[0]
     parts = off * (off @ model[1])
     return parts.sum(axis=1), parts
 
 
-def _inverse(cov: np.ndarray) -> np.ndarray:
-    """The inverse of a covariance to which the least deviations are added, so that constant statistics don't break it."""
-    return np.linalg.inv(cov + np.diag(LEAST**2))
+def fitted(mean: np.ndarray, cov: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+    """The model of one language. A text with half the mean share of common words is, whatever its other statistics
+    are, at least ``(mean / 2) ** 2 / variance`` away: that is the limit, if it is above the 0.999 quantile of the distance."""
+    cov = cov + np.eye(len(mean)) * STEP**2
+    return mean, np.linalg.inv(cov), float(max((mean[COMMON] / 2) ** 2 / cov[COMMON, COMMON], chi2_quantile(len(mean))))
 
 
 def prose_model(stats: DataFrame, rounds: int = 4) -> Model:
-    """Language -> robust mean and inverse covariance of prose; the empty name holds all languages together.
+    """Language -> robust mean, inverse covariance and limit of prose; the empty name holds all languages together.
 
-    It starts from medians and median absolute deviations, then *rounds* times takes the moments of the documents
-    within the 0.999 quantile of the last estimate. All documents take part at every round. Languages of fewer than 40 documents use the model of all.
+    It starts from medians and quartiles (or, of a statistic that is all but constant between these, the 0.05 and 0.95 quantiles), then *rounds* times takes the moments of the documents within the 0.999 quantile
+    of the last estimate. All documents take part at every round. Languages of fewer than 40 documents use the model of all.
     """
     d = len(STATS)
     some = stats.select(F.coalesce("lang_used", F.lit("")).alias("lang_used"), *STATS)
-    middle = [F.percentile_approx(s, 0.5, 1000).alias(s) for s in STATS]
-    rows = [*some.filter("lang_used <> ''").groupBy("lang_used").agg(F.count("*").alias("n"), *middle).filter("n >= 40").collect()]
-    rows += some.agg(F.lit("").alias("lang_used"), F.count("*").alias("n"), *middle).filter("n > 0").collect()
-    centre = {r["lang_used"]: np.array([r[s] for s in STATS]) for r in rows}
-    if not centre:
+    quantiles = [F.percentile_approx(s, [0.05, 0.25, 0.5, 0.75, 0.95], 1000).alias(s) for s in STATS]
+    rows = [*some.filter("lang_used <> ''").groupBy("lang_used").agg(F.count("*").alias("n"), *quantiles).filter("n >= 40").collect()]
+    rows += some.agg(F.lit("").alias("lang_used"), F.count("*").alias("n"), *quantiles).filter("n > 0").collect()
+    model: Model = {}
+    for r in rows:
+        least, low, middle, high, most = np.array([r[s] for s in STATS]).T
+        spread = (high - low) / 1.349
+        model[r["lang_used"]] = fitted(middle, np.diag(np.where(spread > STEP, spread, (most - least) / 3.29) ** 2))
+    if not model:
         return {}
-
-    def parts(pdf: pd.DataFrame, model: dict) -> Iterator[tuple[str, np.ndarray]]:
-        """The rows of each language that has a model, and, under the empty name, all rows."""
-        yield "", pdf[STATS].to_numpy()
-        for lang, part in pdf.groupby("lang_used"):
-            if lang and lang in model:
-                yield lang, part[STATS].to_numpy()
-
-    def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for lang, x in parts(pdf, centre):
-                yield pd.DataFrame(np.abs(x - centre[lang]), columns=STATS).assign(lang_used=lang)[["lang_used", *STATS]]
-
-    schema = "lang_used string, " + ", ".join(f"{s} double" for s in STATS)
-    mads = some.mapInPandas(spread, schema).groupBy("lang_used").agg(*middle).collect()
-    model: Model = {r["lang_used"]: (centre[r["lang_used"]], np.diag(1 / np.maximum(1.4826 * np.array([r[s] for s in STATS]), LEAST) ** 2)) for r in mads}
     within = chi2_quantile(d)
     for _ in range(rounds):
 
         def moments(batches: Iterator[pd.DataFrame], model=model) -> Iterator[pd.DataFrame]:
+            sums: dict[str, list] = {}
             for pdf in batches:
-                for lang, x in parts(pdf, model):
-                    x = x[_squared(x, model[lang])[0] <= within]
-                    yield pd.DataFrame({"lang_used": [lang], "n": [len(x)], "s": [x.sum(axis=0).tolist()], "ss": [(x.T @ x).ravel().tolist()]})
-
-        sums = some.mapInPandas(moments, "lang_used string, n long, s array<double>, ss array<double>")
-        total = sums.groupBy("lang_used").agg(F.sum("n").alias("n"), *(F.sum(F.get("s", F.lit(i))).alias(f"s{i}") for i in range(d)), *(F.sum(F.get("ss", F.lit(i))).alias(f"q{i}") for i in range(d * d))).collect()
+                x, langs = pdf[STATS].to_numpy(), pdf["lang_used"].to_numpy()
+                for lang in model:
+                    own = x[langs == lang] if lang else x
+                    own = own[_squared(own, model[lang])[0] <= within]
+                    n, s, ss = sums.get(lang, (0, 0.0, 0.0))
+                    sums[lang] = [n + len(own), s + own.sum(axis=0), ss + own.T @ own]
+            yield pd.DataFrame([(lang, n, s.tolist(), ss.ravel().tolist()) for lang, (n, s, ss) in sums.items()], columns=["lang_used", "n", "s", "ss"])
+
+        parts = some.mapInPandas(moments, "lang_used string, n long, s array<double>, ss array<double>")
+        total = parts.groupBy("lang_used").agg(F.sum("n").alias("n"), *(F.sum(F.get("s", F.lit(i))).alias(f"s{i}") for i in range(d)), *(F.sum(F.get("ss", F.lit(i))).alias(f"q{i}") for i in range(d * d))).collect()
         fresh: Model = {}
         for r in total:
             if r["n"] and r["n"] > d:
                 mean = np.array([r[f"s{i}"] for i in range(d)]) / r["n"]
-                cov = np.array([r[f"q{i}"] for i in range(d * d)]).reshape(d, d) / r["n"] - np.outer(mean, mean)
-                fresh[r["lang_used"]] = (mean, _inverse(cov))
+                fresh[r["lang_used"]] = fitted(mean, np.array([r[f"q{i}"] for i in range(d * d)]).reshape(d, d) / r["n"] - np.outer(mean, mean))
         model = model | fresh
     return model
 
 
 def outlierness(stats: DataFrame, model: Model) -> DataFrame:
-    """The statistics with *distance2* (squared Mahalanobis distance) and one contribution ``c_<statistic>`` for each."""
+    """The statistics with *distance2* (squared Mahalanobis distance), *limit2* and one contribution ``c_<statistic>`` for each."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             pdf = pdf.reset_index(drop=True)
-            out, x = np.zeros((len(pdf), 1 + len(STATS))), pdf[STATS].to_numpy()
+            out, x = np.zeros((len(pdf), 2 + len(STATS))), pdf[STATS].to_numpy()
             langs = pdf["lang_used"].fillna("").where(pdf["lang_used"].isin(list(model)), "")
             for lang in langs.unique():
                 if lang in model:
                     rows = (langs == lang).to_numpy()
-                    out[rows, 0], out[rows, 1:] = _squared(x[rows], model[lang])
-            yield pd.concat([pdf, pd.DataFrame(out, columns=["distance2", *(f"c_{s}" for s in STATS)])], axis=1)
+                    out[rows, 0], out[rows, 2:] = _squared(x[rows], model[lang])
+                    out[rows, 1] = model[lang][2]
+            yield pd.concat([pdf, pd.DataFrame(out, columns=["distance2", "limit2", *(f"c_{s}" for s in STATS)])], axis=1)
 
-    return stats.mapInPandas(run, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in stats.schema.fields) + ", distance2 double, " + ", ".join(f"c_{s} double" for s in STATS))
+    return stats.mapInPandas(run, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in stats.schema.fields) + ", distance2 double, limit2 double, " + ", ".join(f"c_{s} double" for s in STATS))
 
 
 def quality(documents: DataFrame, common_words: DataFrame) -> DataFrame:
-    """Statistics, distance and contributions of each document; see document_statistics and outlierness."""
+    """Statistics, distance, limit and contributions of each document; see document_statistics and outlierness."""
     stats = settled(document_statistics(documents, common_words), documents.sparkSession)
     return outlierness(stats, prose_model(stats))
 
 
-def not_prose(rated: DataFrame, share: float = 0.5) -> DataFrame:
-    """``doc_id``: outliers from the prose of their language in which running sentences hold less than *share* of the characters.
-
-    The distance's cut-off is the 0.999 quantile of the chi-square distribution; the share is the exact check after it.
-    """
-    return rated.filter((F.col("distance2") > chi2_quantile(len(STATS))) & (F.col("sentence_share") < share)).select("doc_id").distinct()
+def not_prose(rated: DataFrame) -> DataFrame:
+    """``doc_id``: the documents further from the prose of their language than its limit. Blank texts are neither."""
+    return rated.filter((F.col("chars") > 0) & (F.col("distance2") > F.col("limit2"))).select("doc_id").distinct()

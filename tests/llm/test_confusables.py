@@ -26,9 +26,42 @@ def test_unlike(a, b):
     assert C.look(a) != C.look(b)
 
 
-def test_consistent_script_keeps_foreign_words():
-    assert C.look("Росcия") == "Россия"  # a Latin c in a Russian word
-    assert C.look("kΩ μm αβ") == "kΩ μm αβ"
+@pytest.mark.parametrize("word", "он сон рот Том то το τον Νίκος Россия Ελλάδα kΩ MΩ μm μA αβ Հայաստան".split())
+def test_words_of_one_script_and_units_stay(word):
+    assert C.look(word) == unicodedata.normalize("NFC", word)
+
+
+@pytest.mark.parametrize("a, b", [("Росcия", "Россия"), ("Օk", "Ok"), ("Ꭺpple", "Apple"), ("𝐀bc", "Abc"), ("ｶﾞｽ", "ガス"), ("￥5", "¥5"), ("Ⅳ", "IV"), ("ⲥhemi", "chemi"), ("ϹΟ2", "CO2"), ("Ｍΐκρο", "Μΐκρο")])
+def test_other_scripts(a, b):
+    assert C.look(a) == b
+
+
+def test_whole_script_words_follow_the_text():
+    latin, foreign = "cop", "сор"
+    assert C.look(f"Он сказал {latin} и ушёл") == C.look(f"Он сказал {foreign} и ушёл") == f"Он сказал {foreign} и ушёл"
+    assert C.look(f"The {foreign} has left, он said") == C.look(f"The {latin} has left, он said") == f"The {latin} has left, он said"
+    assert C.look(foreign) == latin
+
+
+def test_script_sets():
+    assert C.resolved("он") == {"CYRILLIC"} and C.resolved("сор") >= {"LATIN", "CYRILLIC"} and C.resolved("12") is None
+    assert C.is_mixed("βeta") and not C.is_mixed("pаypаl") and C.consistent("оtеl") == "otel"
+
+
+@given(st.text("абвсерοναΑаbcopeτМΩμ ", max_size=30))
+def test_a_form_does_not_depend_on_the_coding(text):
+    back = {"CYRILLIC": {}, "GREEK": {}}
+    for script in back:
+        letters, latin = C.LETTERS[script]
+        back[script] = dict(zip(letters, latin))
+    plain = "".join(back["CYRILLIC"].get(c, back["GREEK"].get(c, c)) for c in text)
+    assert C.look(text) == C.look(plain)
+
+
+def test_groups_hold_all_pairs(spark):
+    texts = ["abc", "аbc", "abc", "x", "х", "y", "y", None, ""]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "k long, t string")
+    assert rows(C.look_groups({"one": (df.union(df), "k", "t")})) == [("one", 0, 0, 2), ("one", 1, 0, 2), ("one", 2, 0, 2), ("one", 3, 3, 2), ("one", 4, 3, 2)]
 
 
 @given(st.text(max_size=60))

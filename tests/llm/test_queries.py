@@ -35,7 +35,9 @@ def test_sql(spark, name):
     cols = sorted(df.columns)
     result = con.execute(oracle_sql()[name])
     at = [[x[0] for x in result.description].index(c) for c in cols]
-    assert sorted(tuple(r[c] for c in cols) for r in df.collect()) == sorted(tuple(r[i] for i in at) for r in result.fetchall())
+    order = lambda row: [(x is not None, round(x, 6) if isinstance(x, float) else str(x)) for x in row]
+    got, wanted = sorted((tuple(r[c] for c in cols) for r in df.collect()), key=order), sorted((tuple(r[i] for i in at) for r in result.fetchall()), key=order)
+    assert len(got) == len(wanted) and all(a == b or a == pytest.approx(b) for a, b in zip(got, wanted))
 
 
 def test_one_form_of_both_tables(spark):

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from vellumine.llm.confusables import TO_LATIN
-
 _P5 = r"""
 WITH rows AS (
   SELECT DISTINCT item_id, paper_id, coalesce(source, '') AS source, text FROM content_list
@@ -18,8 +16,10 @@ kept AS (
   GROUP BY 1, 2 HAVING count(DISTINCT paper_id) >= 3 AND count(DISTINCT paper_id) >= any_value(papers) * CAST(0.15 AS DOUBLE))
 """
 
-_FROM = "".join(chr(0xFF01 + i) for i in range(94)) + "\u00a0\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u202f\u205f\u3000" + "µ‐‑" + "".join(TO_LATIN)
-_TO = "".join(chr(0x21 + i) for i in range(94)) + " " * 15 + "μ--" + "".join(TO_LATIN.values())
+# Written down anew, so that a letter that the operator lacks shows: letters that look Latin, and their Latin look.
+_FOREIGN, _LATIN = "асеорхуіјѕАВСЕНІКМОРТХЅЈοΟΑΒΕΖΗΙΚΜΝΡΤΥΧν", "aceopxyijsABCEHIKMOPTXSJoOABEZHIKMNPTYXv"
+_FROM = "".join(chr(0xFF01 + i) for i in range(94)) + "\u00a0\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u202f\u205f\u3000" + "µ‐‑" + _FOREIGN
+_TO = "".join(chr(0x21 + i) for i in range(94)) + " " * 15 + "μ--" + _LATIN
 
 
 def _quoted(text: str) -> str:
@@ -44,6 +44,9 @@ def _looks(tbl: str, key: str, column: str) -> str:
 
 
 ORACLE = {
+    "p4_one_form": f"SELECT 'content_list' AS tbl, item_id AS key, {_look('text')} AS look FROM content_list UNION ALL SELECT 'ref_records', ref_key, {_look('raw_text')} FROM ref_records",
+    "p4_groups": f"WITH {_looks('content_list', 'item_id', 'text')}, {_looks('ref_records', 'ref_key', 'raw_text')} "
+    + " UNION ALL ".join(f"SELECT DISTINCT '{tbl}' AS tbl, k AS key, min(k) OVER (PARTITION BY look) AS group_id, codings FROM {tbl}_looks" for tbl in ("content_list", "ref_records")),
     "p4_found": f"WITH {_looks('content_list', 'item_id', 'text')}, {_looks('ref_records', 'ref_key', 'raw_text')} {_alike('content_list', 'item_id', 'text')} UNION ALL {_alike('ref_records', 'ref_key', 'raw_text')}",
     "p5_found": _P5 + "SELECT DISTINCT item_id, CAST(line_no AS INT) AS line_no FROM lines JOIN kept USING (source, line_key)",
     "p5_report": _P5

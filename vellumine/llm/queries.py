@@ -36,19 +36,23 @@ def p3_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scans(spark, sf_dir).repaired()
 
 
+def _looked_at(spark: SparkSession, sf_dir: str) -> dict[str, tuple[DataFrame, str, str]]:
+    fields = (("content_list", "item_id", "text"), ("ref_records", "ref_key", "raw_text"))
+    return {name: (table(spark, sf_dir, name, [key, text]), key, text) for name, key, text in fields}
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return confusables.lookalikes(
-        {
-            "content_list": (table(spark, sf_dir, "content_list", ["item_id", "text"]), "item_id", "text"),
-            "ref_records": (table(spark, sf_dir, "ref_records", ["ref_key", "raw_text"]), "ref_key", "raw_text"),
-        }
-    )
+    return confusables.lookalikes(_looked_at(spark, sf_dir))
+
+
+def p4_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return confusables.look_groups(_looked_at(spark, sf_dir))
 
 
 def p4_one_form(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = None
-    for name, key, text in (("content_list", "item_id", "text"), ("ref_records", "ref_key", "raw_text")):
-        forms = confusables.one_form(table(spark, sf_dir, name, [key, text]), text)
+    for name, (rows, key, text) in _looked_at(spark, sf_dir).items():
+        forms = confusables.one_form(rows, text)
         forms = forms.select(F.lit(name).alias("tbl"), F.col(key).cast("long").alias("key"), "look")
         out = forms if out is None else out.unionByName(forms)
     return out

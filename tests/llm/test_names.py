@@ -55,6 +55,35 @@ def test_venues_of_one_word(spark):
     assert got == sorted(("source", *p) for p in wanted(WORDS, [range(0, 3), range(3, 6)]) + wanted([*VENUES[:3], ("JPO", 3)], [range(0, 4)]))
 
 
+def test_a_surname_with_fifty_thousand_given_names(spark):
+    import random
+
+    rng = random.Random(5)
+    names = sorted({"X" + "".join(rng.choice("abcdefghijklmnopqrstuvwyz") for _ in range(9)) for _ in range(50_000)})
+    data = [(i, [f"{g} Wang"] * (3 if i == 7 else 1), None, "x") for i, g in enumerate(names)]
+    data += [(-1, [f"{names[7][:4]}{names[7][5:]} Wang", f"Wang, {names[7]}"], None, "x")]
+    links = N.linked(spark.createDataFrame(data, SCHEMA)).filter(f"entity = '{names[7]} Wang'")
+    assert rows(links, "name") == sorted((x,) for x in (f"{names[7]} Wang", f"{names[7][:4]}{names[7][5:]} Wang", f"Wang, {names[7]}"))
+
+
+def test_an_acronym_of_two_venues_goes_to_the_likelier(spark):
+    venues = [("Journal of Planar Optics", 30), ("Journal of Polymer Oscillations", 9), ("JPO", 4)]
+    got = N.variant_pairs(N.linked(refs(spark, [], venues)))
+    assert rows(got, "name_lo", "name_hi") == [("JPO", "Journal of Planar Optics")]
+
+
+def test_chains_are_followed_to_their_end(spark):
+    chain = [("Vantorelup Olga", 1), ("Vantorelu Olga", 40), ("Vantorel Olga", 20), ("Vantore Olga", 10), ("Vantor Olga", 6), ("Vanto Olga", 3), ("Vant Olga", 2)]
+    links = N.linked(refs(spark, [(f"Olga {x.split()[0]}", n) for x, n in chain]))
+    assert {r["entity"] for r in links.collect()} == {"Olga Vantorelu"}
+
+
+def test_ties_go_to_the_lesser_spelling(spark):
+    links = N.linked(refs(spark, [("Olga Pimaketor", 9), ("Olga Pimaketir", 9), ("Olga Pimaketr", 1)]))
+    assert {r["name"]: r["entity"] for r in links.collect()}["Olga Pimaketr"] in ("Olga Pimaketir", "Olga Pimaketor")
+    assert rows(N.linked(refs(spark, [], [("Optic", 5), ("Optik", 5)])), "name", "entity") == [("Optic", "Optic"), ("Optik", "Optic")]
+
+
 def test_same_result_whatever_the_partitions(spark):
     df = refs(spark, PEOPLE, VENUES)
     assert rows(N.linked(df)) == rows(N.linked(df.repartition(7).orderBy("ref_key", ascending=False)))

@@ -1,14 +1,16 @@
 """Linking the spellings of one person or one venue by a noisy channel.
 
-Frequent spellings are candidate canonical forms. The prior of a form is its frequency; the channel that turns it
+Frequent forms are candidate canonical forms. The prior of a form is its frequency; the channel that turns it
 into a typed spelling abbreviates given names or words, reorders parts, uses nicknames, drops accents or middle
 initials, and makes at most one typing error (insertion, deletion, substitution, transposition) in a word. Every
-spelling is attached to the form of maximum posterior, which may be itself.
-
-All mentions are first reduced to distinct spellings with their counts (partial aggregation before the shuffle),
-so a name that holds a third of all rows is one row from there on. Spellings meet their candidates within blocks
-(surname and first initial; acronym of a venue), and forms of different blocks through shared deletion keys, so
-no pair of unrelated spellings is made.
+form is attached to the form of maximum posterior, which may be itself; the channel's probabilities are fitted by
+expectation maximisation on the forms attached.
+
+All mentions are first reduced to distinct spellings and these to distinct forms (surname, given name, middle initials;
+words of a venue) with their counts, so a name that holds a third of all rows is one row from there on. Forms meet
+their candidates by joins on keys that only related forms share (deletions of a letter, full names of a nickname,
+prefixes, an acronym with the beginning of a word), and what has no given name meets the best entity of its initials by
+an aggregate. Nothing gathers the forms of one surname or acronym, however many there are.
 """
 
 from __future__ import annotations
@@ -17,10 +19,12 @@ import math
 import re
 import unicodedata
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 
+import numpy as np
 import pandas as pd
-import pyarrow as pa
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vellumine.sources.tables import settled
@@ -42,10 +46,11 @@ _NICK = {short: {full for full, names in NICKNAMES.items() if short in names.spl
 _SMALL_WORDS = {"of", "on", "in", "the", "and", "for", "to", "a", "an"}
 _LETTERS = str.maketrans({"ø": "o", "Ø": "O", "ł": "l", "Ł": "L", "đ": "d", "Đ": "D", "ß": "ss", "æ": "ae", "Æ": "AE", "œ": "oe", "Œ": "OE", "ı": "i"})
 
-#: Channel probabilities: how often a typed spelling differs from the canonical one in this way. A second entity
-#: whose name differs from a frequent one in just such a way is that much rarer.
+#: Channel probabilities before the fit: how often a typed form differs from the canonical one in this way; they weigh
+#: as much as PRIOR mentions. COLLISION: how often a second entity has a name that differs from the first in just such a way.
 CHANNEL = {"same": 0.5, "initial": 0.2, "nickname": 0.06, "prefix": 0.04, "accent": 0.05, "typo": 0.05, "no_middle": 0.08, "new_middle": 0.02, "acronym": 0.05, "abbreviated": 0.3}
-COLLISION = 2e-5
+PRIOR, COLLISION = 1000.0, 2e-5
+Channel = dict[str, float]
 
 
 def fold(text: str) -> str:
@@ -111,23 +116,30 @@ def parse_venue(name: str) -> list[str]:
     return [w for w in re.split(r"[^\w]+", text) if w and w not in _SMALL_WORDS]
 
 
-def _given_loglik(typed: str, form: str) -> float:
-    """log P(typed given name | canonical given name), both folded."""
+def given_change(typed: str, form: str) -> tuple[str, float] | None:
+    """How *typed* comes from the given name *form* (folded): the channel's step and the log of its share that goes to
+    just this form, apart from the step's probability. None if it can't."""
     if typed == form:
-        return math.log(CHANNEL["same"])
+        return "same", 0.0
     if len(typed) == 1:
-        return math.log(CHANNEL["initial"]) if form[:1] == typed else -math.inf
+        return ("initial", 0.0) if form[:1] == typed else None
     if _spelt(typed) == _spelt(form):
-        return math.log(CHANNEL["accent"])
+        return "accent", 0.0
     if form in _NICK.get(typed, ()):
-        return math.log(CHANNEL["nickname"])
+        return "nickname", 0.0
     if len(typed) >= 2 and len(form) > len(typed) + 1 and form.startswith(typed):
-        return math.log(CHANNEL["prefix"])
+        return "prefix", 0.0
     if 3 <= len(typed) <= 4 and len(form) > len(typed) + 1 and typed[0] == form[0] and within_one(typed, form[: len(typed)]):
-        return math.log(CHANNEL["prefix"] * CHANNEL["typo"])  # cut short, where the form itself is a misspelling
+        return "prefix", math.log(CHANNEL["typo"])  # cut short, where the form itself is a misspelling
     if within_one(typed, form) and min(len(typed), len(form)) >= 3:
-        return math.log(CHANNEL["typo"] / (len(form) * 4))
-    return -math.inf
+        return "typo", -math.log(len(form) * 4)
+    return None
+
+
+def _given_loglik(typed: str, form: str) -> float:
+    """log P(typed given name | canonical given name) under the channel before the fit."""
+    change = given_change(typed, form)
+    return math.log(CHANNEL[change[0]]) + change[1] if change else -math.inf
 
 
 def _given_either(a: str, b: str) -> float:
@@ -143,63 +155,13 @@ def _middle_loglik(typed: str, form: str) -> float:
     return math.log(CHANNEL["new_middle"]) if not form else -math.inf
 
 
-def attach_persons(block: list[tuple[str, int, str, str]], gfreq: dict[str, int] | None = None) -> list[int]:
-    """For each (spelling, count, given, middle) of one surname and initial the index of its canonical form.
-
-    *gfreq* tells how many spellings of the whole table bear a given name: the usual one of two leads.
-    Forms are taken by what they tell (a full given name, a middle initial), then by frequency; each joins the
-    entity of greatest posterior or, where its own is greater, founds one. Ties go to the more frequent form,
-    then to the lesser spelling.
-    """
-    order = sorted(range(len(block)), key=lambda i: (len(block[i][2]) < 2, -block[i][1], block[i][0]))
-    full = [i for i in order if len(block[i][2]) > 1]
-    # the given names, each with its canonical one; a longer one that is merely rarer than its nickname still leads
-    weight: dict[str, int] = {}
-    for i in full:
-        weight[block[i][2]] = weight.get(block[i][2], 0) + block[i][1]
-    canonical: dict[str, str] = {}
-    heads: list[str] = []
-    is_short = {g: any(h != g and (h in _NICK.get(g, ()) or (h.startswith(g) and len(h) > len(g) + 1)) for h in weight) for g in weight}
-    usual = gfreq or {}
-    for g in sorted(weight, key=lambda g: (is_short[g], -usual.get(g, 0), -weight[g], g)):
-        best = max(((math.log(weight[h]) + _given_either(g, h), h) for h in heads), default=(-math.inf, ""))
-        own = math.log(weight[g]) + math.log(COLLISION)
-        canonical[g] = best[1] if best[0] > own else g
-        if canonical[g] == g:
-            heads.append(g)
-    root = [-1] * len(block)
-    entities: list[dict] = []
-    steps = sorted(order, key=lambda i: (len(block[i][2]) < 2, not block[i][3], -block[i][1], block[i][0]))
-    for i in steps:
-        name, n, given, middle = block[i]
-        told = canonical.get(given, given)
-        best, at = -math.inf, None
-        for e in entities:
-            if len(told) > 1 and len(e["given"]) > 1:
-                g = _given_loglik(given, e["given"]) if told == e["given"] else -math.inf
-                g = max(g, math.log(CHANNEL["typo"] / 40)) if told == e["given"] else g
-            else:
-                g = math.log(CHANNEL["initial"]) if told[:1] == e["given"][:1] else -math.inf
-            score = math.log(e["n"]) + g + _middle_loglik(middle, e["middle"])
-            if score > best:
-                best, at = score, e
-        if at is None or best <= math.log(n) + math.log(COLLISION):
-            at = {"given": told, "middle": middle, "n": 0, "best": (-1, ""), "root": i}
-            entities.append(at)
-        at["n"] += n
-        at["middle"] = at["middle"] or middle
-        if (n, name) > (at["best"][0], "") and n > at["best"][0]:
-            at["best"], at["root"] = (n, name), i
-        root[i] = id(at)
-    roots = {id(e): e["root"] for e in entities}
-    return [roots[r] for r in root]
-
-
-def _words_loglik(typed: list[str], form: list[str]) -> float:
-    """log P(typed words | canonical words), word by word: same, abbreviated, one typing error in all."""
+def words_change(typed: list[str], form: list[str]) -> tuple[str, float] | None:
+    """As given_change, of a venue's words: abbreviated words, one typing error in all, or the acronym for the words."""
+    if len(typed) == 1 and len(form) > 1:
+        return ("acronym", 0.0) if len(typed[0]) > 1 and typed[0] == "".join(w[0] for w in form) else None
     if len(typed) != len(form):
-        return -math.inf
-    score, typos, short = math.log(CHANNEL["same"]), 0, False
+        return None
+    typos, short = 0, False
     for a, b in zip(typed, form):
         if a == b:
             continue
@@ -208,34 +170,11 @@ def _words_loglik(typed: list[str], form: list[str]) -> float:
         elif within_one(a, b) and min(len(a), len(b)) > 3:
             typos += 1
         else:
-            return -math.inf
-    if typos > 1:
-        return -math.inf
-    return score + math.log(CHANNEL["abbreviated"]) * short + math.log(CHANNEL["typo"] / 40) * typos
-
-
-def attach_venues(block: list[tuple[str, int, list[str]]]) -> list[int]:
-    """As attach_persons, for (spelling, count, words) of one acronym. A one-word spelling may be the acronym itself;
-    where no venue of several words bears it, it is the venue's name."""
-    spelled = [i for i in range(len(block)) if len(block[i][2]) > 1] or [i for i in range(len(block)) if block[i][2]]
-    letters = sorted(set(range(len(block))) - set(spelled))
-    root = list(range(len(block)))
-    # longest words first among those that abbreviate one another, else by frequency
-    shortened = {i: sum(1 for j in spelled if j != i and len(block[j][2]) == len(block[i][2]) and all(b.startswith(a) for a, b in zip(block[i][2], block[j][2])) and any(len(b) > len(a) + 1 for a, b in zip(block[i][2], block[j][2]))) > 0 for i in spelled}
-    entities: list[dict] = []
-    for i in sorted(spelled, key=lambda i: (shortened[i], -block[i][1], block[i][0])):
-        name, n, words = block[i]
-        best, at = max(((math.log(e["n"]) + _words_loglik(words, e["words"]), k) for k, e in enumerate(entities)), key=lambda x: (x[0], -x[1]), default=(-math.inf, None))
-        if at is None or best <= math.log(n) + math.log(COLLISION):
-            entities.append({"words": words, "n": n, "root": i})
-        else:
-            entities[at]["n"] += n
-            root[i] = entities[at]["root"]
-    for i in letters:
-        best = max(entities, key=lambda e: (e["n"], -e["root"]), default=None)
-        if best is not None and len(block[i][2][0] if block[i][2] else "") > 1:
-            root[i] = best["root"]
-    return root
+            return None
+    if typos > 1 or not (typos or short):
+        return None
+    error = math.log(CHANNEL["typo"] / 40)
+    return ("abbreviated", error * typos) if short else ("typo", -math.log(40))
 
 
 def spellings(refs: DataFrame) -> DataFrame:
@@ -283,40 +222,6 @@ def _oriented(parsed: DataFrame) -> DataFrame:
     return both.join(words.select(F.col("word").alias("given"), "gfreq"), "given", "left").withColumn("gfreq", F.coalesce("gfreq", F.lit(0)))
 
 
-def _settled_block(kind: str, members: list[dict]) -> list[tuple]:
-    """The spellings of one block, each with the canonical form of its entity and what is known of that entity."""
-    members = sorted(members, key=lambda m: m["name"])
-    names, counts = [m["name"] for m in members], [m["n"] for m in members]
-    given, middle = [m["given"] or "" for m in members], [m["middle"] or "" for m in members]
-    if kind == "author":
-        roots = attach_persons(list(zip(names, counts, given, middle)), {g: m["gfreq"] for g, m in zip(given, members)})
-    else:
-        roots = attach_venues([(m["name"], m["n"], m["words"]) for m in members])
-    total: dict[int, int] = {}
-    forms: dict[int, int] = {}
-    full: dict[int, str] = {}
-    mid: dict[int, str] = {}
-    for i in sorted(range(len(roots)), key=lambda i: (len(given[i]) < 2, -members[i]["gfreq"], -counts[i], names[i])):
-        r = roots[i]
-        total[r] = total.get(r, 0) + counts[i]
-        forms[r] = forms.get(r, 0) + 1
-        full.setdefault(r, given[i])
-        mid[r] = mid.get(r) or middle[i]
-    return [(kind, names[i], counts[i], members[i]["a"], names[r], total[r], forms[r], full[r], mid[r], members[r]["words"]) for i, r in enumerate(roots)]
-
-
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    types = [pa.string(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.list_(pa.string())]
-    names = ["kind", "name", "n", "a", "form", "total", "forms", "given", "middle", "words"]
-    for b in batches:
-        rows = [r for kind, members in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) for r in _settled_block(kind, members)]
-        columns = list(zip(*rows)) or [()] * len(types)
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
-
-
-_BLOCKED = "kind string, name string, n long, a string, form string, total long, forms long, given string, middle string, words array<string>"
-
-
 def deletions(word: str, short: int = 64) -> list[str]:
     """Keys of which two words share one if a single error makes one to the other: the word and all words that lack one
     of its letters. Of a long word, instead, the first and last letters, since one error cannot touch both ends."""
@@ -326,92 +231,281 @@ def deletions(word: str, short: int = 64) -> list[str]:
     return sorted(keys)
 
 
-def _keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        out = []
-        for row in pdf.itertuples(index=False):
-            g = row.given or ""
-            if row.kind == "author":
-                firsts = {g[:1], *(full[0] for full in _NICK.get(g, ()))}
-                keys = {f"s|{g[:1]}|{d}" for d in deletions(row.a)} | {f"i|{row.a}|{x}" for x in firsts} | ({f"g|{row.a}|{d}" for d in deletions(g)} if len(g) > 3 else set())
-            else:
-                few = len(row.words) if row.words is not None else 0
-                keys = {f"{'v' if few > 1 else 'w'}|{d}" for d in deletions(row.a)} if few else set()
-            out.extend((k, *row) for k in keys)
-        yield pd.DataFrame(out, columns=["key", "kind", "form", "a", "total", "forms", "given", "middle", "words"])
-
-
-_KEYED = "key string, kind string, form string, a string, total long, forms long, given string, middle string, words array<string>"
-
-
-def entity_loglik(kind: str, v: tuple, c: tuple) -> float:
-    """log P(the entity v is spelt so | it is the entity c), for entities of different blocks: one error in the surname,
-    the first letter of the given name or a venue's word. v and c are (a, given, middle, words)."""
-    if kind == "source":
-        return _words_loglik(list(v[3]), list(c[3]))
-    typo = math.log(CHANNEL["typo"] / 40)
-    if not v[1] or not c[1]:
-        return -math.inf
-    middle = max(_middle_loglik(v[2], c[2]), _middle_loglik(c[2], v[2]))
-    if v[0] == c[0]:
-        short = {full for a in (v[1],) for full in _NICK.get(a, ())}
-        if any(_given_either(full, c[1]) > -math.inf for full in short):
-            return math.log(CHANNEL["nickname"]) + middle
-        short = {full for full in _NICK.get(c[1], ())}
-        if any(_given_either(full, v[1]) > -math.inf for full in short):
-            return math.log(CHANNEL["nickname"]) + middle
-        if len(v[1]) > 2 and len(c[1]) > 2 and within_one(v[1], c[1]):
-            return typo + middle
-        return -math.inf
-    if min(len(v[0]), len(c[0])) < 4 or not within_one(v[0], c[0]):
-        return -math.inf
-    given = _given_either(v[1], c[1])
-    return typo + max(given, math.log(CHANNEL["accent"]) if given > -math.inf else given) + middle
-
-
-def _scored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        keep = []
-        for r in pdf.itertuples(index=False):
-            # an entity spelt in k ways of its own is a misspelling of another only where each of them is one
-            own = math.log(r.v_total) + math.log(COLLISION) + 4.0 * (r.v_forms - 1)
-            score = math.log(r.c_total) + entity_loglik(r.kind, (r.v_a, r.v_given or "", r.v_middle or "", r.v_words), (r.c_a, r.c_given or "", r.c_middle or "", r.c_words))
-            if score > own:
-                keep.append((r.kind, r.v_form, r.c_form, score, r.c_total))
-        yield pd.DataFrame(keep, columns=["kind", "form", "target", "score", "c_total"])
+def _key(*parts: str) -> int:
+    """A 64-bit key; forms that meet by chance are told apart when they are scored."""
+    return xxhash.xxh3_64_intdigest("\x1f".join(parts).encode("utf-8", "surrogatepass")) - (1 << 63)
+
+
+def _starts(word: str, most: int = 64) -> list[str]:
+    """The beginnings of a word that a form cut short may have; beyond *most* letters the beginning of *most* stands for all."""
+    return [word[:i] for i in range(2, min(len(word) - 1, most + 1))]
+
+
+def given_keys(node: tuple, typed: bool) -> set[int]:
+    """The keys of a given name with its surname, as the typed form or as the canonical one."""
+    a, g = node
+    keys = {("k", _spelt(g))} | ({("d", d) for d in deletions(g)} if len(g) >= 3 else set())
+    if typed:
+        keys |= {("n", full) for full in _NICK.get(g, ())} | {("p", g[:64])}
+        if 3 <= len(g) <= 4:
+            keys |= {("q", str(len(g)), d) for d in deletions(g)}
+    else:
+        keys |= {("n", g)} | {("p", start) for start in _starts(g)}
+        keys |= {("q", str(n), d) for n in (3, 4) if len(g) > n + 1 for d in deletions(g[:n])}
+    return {_key("g", a, *k) for k in keys}
+
+
+def given_relation(typed: tuple, form: tuple) -> tuple[str, float, bool] | None:
+    """The change, its share, and whether the typed name tells less than the form."""
+    change = given_change(typed[1], form[1]) if typed[0] == form[0] and typed[1] != form[1] else None
+    return (*change, change[0] == "nickname" or (change[0] == "prefix" and form[1].startswith(typed[1]))) if change else None
+
+
+def venue_keys(node: tuple, typed: bool) -> set[int]:
+    """The keys of a venue's words. One error: the words with a letter less in one of them. Abbreviations: the acronym with
+    the beginning of one of its words, since an error leaves one of two beginnings whole."""
+    words = list(node[0])
+    keys = {("t", *words[:i], d, *words[i + 1 :]) for i, w in enumerate(words) if len(w) > 3 for d in deletions(w)}
+    letters = "".join(w[0] for w in words)
+    if len(words) > 1:
+        anchors = {("b", letters, str(i), w[:3]) for i, w in enumerate(words) if len(w) >= 3}
+        keys |= anchors
+        if not typed or len(anchors) < 2:
+            keys.add(("b", letters))
+        if not typed:
+            keys.add(("a", letters))
+    elif words and typed:
+        keys.add(("a", words[0]))
+    return {_key("v", *k) for k in keys}
+
+
+def venue_relation(typed: tuple, form: tuple) -> tuple[str, float, bool] | None:
+    change = words_change(list(typed[0]), list(form[0]))
+    return (*change, change[0] != "typo") if change else None
+
+
+def entity_keys(node: tuple, typed: bool) -> set[int]:
+    """The keys of a person (surname, given name, middle initials) for one error in the surname, or in the given name, or a
+    nickname of another initial. Forms of one surname share none of them only because they share it."""
+    a, g, _ = node
+    if not g:
+        return set()
+    if len(g) == 1:
+        names = {"~" + g}
+    else:  # an error in a given name too leaves either its beginning or its end whole
+        full = (_spelt(g), *(_NICK.get(g, ()) if typed else ()))
+        names = {x for f in full for x in ("=" + f[:2], "$" + f[-2:])} | (set() if typed else {"~" + g[0]})
+    # one lacks a letter of the other (whole against deletion), or both lack one letter of a common word
+    whole, less = ("x", ("l", "y")) if typed else ("y", ("l", "x"))
+    near = [(whole, a), *((tag, d) for d in deletions(a) if d != a for tag in less)] if len(a) > 3 else []
+    keys = {("s", *d, x) for d in near for x in names}
+    if len(g) > 3:
+        keys |= {("g", a, d) for d in deletions(g)}
+    if typed:
+        keys |= {("n", a, x) for full in _NICK.get(g, ()) for x in ("~" + full[0], *deletions(full), *_starts(full))}
+    else:
+        keys |= {("n", a, d) for d in deletions(g)} if len(g) > 1 else {("n", a, "~" + g)}
+    return {_key("e", *k) & ~1 if k[0] == "s" else _key("e", *k) | 1 for k in keys}  # odd keys are for equal surnames
+
+
+def entity_relation(typed: tuple, form: tuple) -> tuple[str, float, bool] | None:
+    (a, g, m), (b, h, k) = typed, form
+    middle = max(_middle_loglik(m, k), _middle_loglik(k, m))
+    if middle == -math.inf or not g or not h:
+        return None
+    if a == b:
+        for x, y in ((g, h), (h, g)):
+            if any(_given_either(full, y) > -math.inf for full in _NICK.get(x, ())):
+                return "nickname", middle, False
+        return ("typo", middle - math.log(40), False) if g != h and len(g) > 2 and len(h) > 2 and within_one(g, h) else None
+    if min(len(a), len(b)) < 4 or not within_one(a, b):
+        return None
+    given = _given_either(g, h)
+    return ("typo", max(given, math.log(CHANNEL["accent"])) + middle - math.log(40), False) if given > -math.inf else None
 
 
-def linked(refs: DataFrame, rounds: int = 3) -> DataFrame:
+def _met(nodes: DataFrame, fields: list[str], keys, relation, useful: str = "true") -> DataFrame:
+    """``v, c, v_n, c_n, v_spelt, v_rank, c_rank, change, share, short``: the forms that are related, in both directions.
+
+    *nodes* has ``id, n, spelt, rank`` and the *fields* that *keys* and *relation* read. *useful* is a condition on ``key, t_node,
+    f_node`` without which forms that share a key aren't scored.
+    """
+    node = F.struct(*fields)
+
+    def keyed(side: str, typed: bool) -> DataFrame:
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for pdf in batches:
+                found = [list(keys(x, typed)) for x in pdf[fields].itertuples(index=False, name=None)]
+                at = np.repeat(np.arange(len(pdf)), [len(k) for k in found])
+                out = pdf.iloc[at].copy()
+                out.insert(0, "key", np.array([k for some in found for k in some], dtype=np.int64))
+                yield out
+
+        kinds = {f.name: f.dataType.simpleString() for f in nodes.schema.fields}
+        names = ["id", "n", "spelt", "rank", *fields]
+        rows = nodes.select(*names).mapInPandas(run, "key long, " + ", ".join(f"`{x}` {kinds[x]}" for x in names))
+        return rows.select("key", *(F.col(x).alias(f"{side}_{x}") for x in names[:4]), node.alias(f"{side}_node"))
+
+    pairs = keyed("t", True).join(keyed("f", False), "key").filter(f"t_id <> f_id and ({useful})").drop("key")
+
+    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = []
+            for t, f, *rest in zip(pdf["t_node"], pdf["f_node"], *(pdf[x] for x in ("t_id", "f_id", "t_n", "f_n", "t_spelt", "f_spelt", "t_rank", "f_rank"))):
+                told = relation(tuple(t[x] for x in fields), tuple(f[x] for x in fields))
+                if told:
+                    rows.append((*rest, *told))
+            yield pd.DataFrame(rows, columns=["t", "f", "t_n", "f_n", "t_spelt", "f_spelt", "t_rank", "f_rank", "change", "share", "short"])
+
+    some = pairs.mapInPandas(score, "t string, f string, t_n long, f_n long, t_spelt long, f_spelt long, t_rank long, f_rank long, change string, share double, short boolean")
+    one = settled(some.distinct())
+    ahead = one.select(F.col("t").alias("v"), F.col("f").alias("c"), F.col("t_n").alias("v_n"), F.col("f_n").alias("c_n"), F.col("t_spelt").alias("v_spelt"), F.col("t_rank").alias("v_rank"), F.col("f_rank").alias("c_rank"), "change", "share", "short")
+    back = one.select(F.col("f").alias("v"), F.col("t").alias("c"), F.col("f_n").alias("v_n"), F.col("t_n").alias("c_n"), F.col("f_spelt").alias("v_spelt"), F.col("f_rank").alias("v_rank"), F.col("t_rank").alias("c_rank"), "change", "share", F.lit(False).alias("short"))
+    return ahead.unionByName(back)
+
+
+def _ordered(edges: DataFrame, oneway: bool) -> DataFrame:
+    """The edges to forms that come first: those that are short for no other, then the usual and the frequent, then the
+    lesser by code points. Every edge goes down this order, so there is no circle. *oneway*: what is short for a form is
+    attached to it and never the other way."""
+    short = edges.filter("short").select("v").distinct()
+    mine, its = short.withColumn("v_short", F.lit(1)), short.select(F.col("v").alias("c"), F.lit(1).alias("c_short"))
+    both = edges.join(mine, "v", "left").join(its, "c", "left").fillna(0, ["v_short", "c_short"])
+    if oneway:
+        both = both.filter(F.col("short") | (F.col("change") == "typo"))
+    place = lambda side: F.struct(f"{side}_short", -F.col(f"{side}_rank"), -F.col(f"{side}_n"), side)
+    return both.filter(place("c") < place("v"))
+
+
+def _best(edges: DataFrame, channel: Channel, penalty: float) -> DataFrame:
+    """``v, target, change, v_n``: each form with the form of maximum posterior, where that is above its own; ties go to the
+    more frequent form, then to the lesser by code points. A form spelt in k ways is a misspelling only where each of them is one."""
+    step = F.element_at(F.create_map(*(F.lit(x) for name, p in channel.items() for x in (name, math.log(p)))), F.col("change"))
+    score = F.log("c_n") + step + F.col("share")
+    own = F.log("v_n") + math.log(COLLISION) + penalty * F.when(F.col("change") == "typo", F.col("v_spelt") - 1).otherwise(0)
+    some = edges.withColumn("score", score).filter(F.col("score") > own)
+    first = F.min(F.struct((-F.col("score")).alias("s"), (-F.col("c_n")).alias("m"), "c", "change")).alias("x")
+    return some.groupBy("v").agg(first, F.first("v_n").alias("v_n")).select("v", F.col("x.c").alias("target"), F.col("x.change").alias("change"), "v_n")
+
+
+def fit(edges: DataFrame, mentions: float, channel: Channel, penalty: float, rounds: int = 2) -> Channel:
+    """The channel after *rounds* of expectation maximisation: each form goes to its maximum posterior, and a change is as
+    probable as the share of all *mentions* that it made. What comes to the driver are the sums by change."""
+    for _ in range(rounds):
+        made = {r["change"]: r["n"] for r in _best(edges, channel, penalty).groupBy("change").agg(F.sum("v_n").alias("n")).collect()}
+        channel = channel | {name: (made.get(name, 0) + PRIOR * CHANNEL[name]) / (mentions + PRIOR) for name in made}
+    return channel
+
+
+def _roots(links: DataFrame) -> DataFrame:
+    """``v, root``: the last target of each form, by doubling the steps until none changes; edges go down an order, so it ends."""
+    links = settled(links.select("v", "target"))
+    while True:
+        further = links.select(F.col("v").alias("target"), F.col("target").alias("last"))
+        if not links.join(further, "target", "left_semi").head(1):
+            return links.withColumnRenamed("target", "root")
+        links = settled(links.join(further, "target", "left").select("v", F.coalesce("last", "target").alias("target")))
+
+
+def _lead() -> Column:
+    """The most frequent spelling; of equals the lesser by code points."""
+    return F.min(F.struct((-F.col("n")).alias("m"), "name"))
+
+
+def _mentions(nodes: DataFrame) -> float:
+    return float(nodes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
+
+
+def _top(entities: DataFrame, by: list[str], score: Column, name: str) -> DataFrame:
+    """The best entity of each group of *by*: the greatest score, then the lesser by code points."""
+    x = F.min(F.struct((-score).alias("s"), "told", "mid"))
+    return entities.groupBy(*by).agg(x.alias(name))
+
+
+def _persons(turned: DataFrame) -> DataFrame:
+    """``name, entity``: the author spellings with the id of their person."""
+    apart = "\x1f"
+    some = turned.filter("kind = 'author'").select("name", "n", "a", F.coalesce("given", F.lit("")).alias("given"), F.coalesce("middle", F.lit("")).alias("middle"), "gfreq")
+    forms = settled(some.groupBy("a", "given", "middle").agg(F.sum("n").alias("n"), F.count("*").alias("spelt"), F.max("gfreq").alias("gfreq")))
+    # the given names of a surname, each with its canonical one
+    given = forms.filter(F.length("given") > 1).groupBy("a", "given").agg(F.sum("n").alias("n"), F.sum("spelt").alias("spelt"), F.max("gfreq").cast("long").alias("rank"))
+    given = settled(given.withColumn("id", F.concat_ws(apart, "a", "given")))
+    edges = settled(_ordered(_met(given, ["a", "given"], given_keys, given_relation), oneway=False))
+    seen = forms.agg(F.sum("n").alias("all"), F.sum(F.when(F.length("given") == 1, F.col("n"))).alias("initial")).first()
+    mentions = float(seen["all"] or 0)
+    channel = fit(edges, mentions, CHANNEL, 0.0) | {"initial": ((seen["initial"] or 0) + PRIOR * CHANNEL["initial"]) / (mentions + PRIOR)}
+    log = {x: math.log(p) for x, p in channel.items()}
+    root = _roots(_best(edges, channel, 0.0)).select(F.split_part("v", F.lit(apart), F.lit(1)).alias("a"), F.split_part("v", F.lit(apart), F.lit(2)).alias("given"), F.split_part("root", F.lit(apart), F.lit(2)).alias("told"))
+    forms = forms.join(root, ["a", "given"], "left").withColumn("told", F.coalesce("told", "given"))
+    # full names: one without middle initials goes to the best with some
+    by_name = forms.groupBy("a", "told", "middle").agg(F.sum("n").alias("n")).withColumn("init", F.substring("told", 1, 1))
+    full = by_name.filter(F.length("told") > 1).withColumn("mid", F.col("middle"))
+    best = _top(full.filter("middle <> ''"), ["a", "told"], F.log("n"), "best")
+    joins = (F.col("middle") == "") & (-F.col("best.s") + log["same"] + log["no_middle"] > F.log("n") + math.log(COLLISION))
+    full = settled(full.join(best, ["a", "told"], "left").withColumn("mid", F.when(F.coalesce(joins, F.lit(False)), F.col("best.mid")).otherwise(F.col("middle"))).select("a", "init", "told", "middle", "mid", "n"))
+    entities = full.groupBy("a", "init", "told", "mid").agg(F.sum("n").alias("n"))
+    # initials with middle initials, then those without any: each goes to the best entity that they fit
+    bare = by_name.filter(F.length("told") <= 1).select("a", "init", "told", "middle", "n")
+    tops = _top(entities, ["a", "init", "mid"], F.log("n"), "top")
+    two = bare.filter("middle <> ''").join(tops.select("a", "init", F.col("mid").alias("middle"), F.col("top").alias("equal")), ["a", "init", "middle"], "left")
+    two = two.join(tops.filter("mid = ''").select("a", "init", F.col("top").alias("open")), ["a", "init"], "left")
+    s1, s2 = -F.col("equal.s") + log["initial"] + log["same"], -F.col("open.s") + log["initial"] + log["new_middle"]
+    own = F.log("n") + math.log(COLLISION)
+    low = F.lit(-1e9)
+    s1, s2 = F.coalesce(s1, low), F.coalesce(s2, low)
+    to = F.when(F.greatest(s1, s2) <= own, F.struct("told", F.col("middle").alias("mid"))).when(s1 >= s2, F.struct("equal.told", "equal.mid")).otherwise(F.struct("open.told", F.col("middle").alias("mid")))
+    # an entity without middle initials takes those of the form that joins it, so its id changes: kept apart as *was*
+    two = settled(two.withColumn("to", to).withColumn("opened", (s2 > s1) & (s2 > own)).select("a", "init", "told", "middle", "n", F.col("to.told").alias("etold"), F.when(F.col("opened"), "").otherwise(F.col("to.mid")).alias("emid")))
+    entities = entities.select("a", "init", "told", "mid", "n").unionByName(two.select("a", "init", F.col("etold").alias("told"), F.col("emid").alias("mid"), "n")).groupBy("a", "init", "told", "mid").agg(F.sum("n").alias("n"))
+    score = F.log("n") + F.when(F.length("told") > 1, log["initial"]).otherwise(log["same"]) + F.when(F.col("mid") == "", log["same"]).otherwise(log["no_middle"])
+    one = bare.filter("middle = ''").join(_top(entities, ["a", "init"], score, "top"), ["a", "init"], "left")
+    fits = F.coalesce(-F.col("top.s") > own, F.lit(False))
+    one = one.select("a", "told", "middle", F.when(fits, F.col("top.told")).otherwise(F.col("told")).alias("etold"), F.when(fits, F.col("top.mid")).otherwise(F.lit("")).alias("emid"))
+    whole = full.select("a", "told", "middle", F.col("told").alias("etold"), F.col("mid").alias("emid")).unionByName(two.select("a", "told", "middle", "etold", "emid")).unionByName(one)
+    placed = settled(forms.join(whole, ["a", "told", "middle"]).withColumn("entity", F.concat_ws(apart, "a", "etold", "emid")).select("a", "given", "middle", "n", "spelt", "etold", "emid", "entity"))
+    # persons of other surnames or initials, by one error or a nickname
+    nodes = placed.groupBy("entity", "a", "etold").agg(F.sum("n").alias("n"), F.sum("spelt").alias("spelt"), F.max(F.when(F.col("emid") != "", F.col("emid")).otherwise(F.col("middle"))).alias("mid"))
+    nodes = settled(nodes.select(F.col("entity").alias("id"), F.lit(0).cast("long").alias("rank"), "n", "spelt", "a", F.col("etold").alias("given"), "mid"))
+    edges = settled(_ordered(_met(nodes, ["a", "given", "mid"], entity_keys, entity_relation, "key & 1 = 1 or t_node.a <> f_node.a"), oneway=False))
+    roots = _roots(_best(edges, fit(edges, mentions, CHANNEL, 4.0), 4.0))
+    last = placed.join(roots, placed["entity"] == roots["v"], "left").select("a", "given", "middle", F.coalesce("root", "entity").alias("entity"))
+    return some.join(last, ["a", "given", "middle"]).select("name", "entity")
+
+
+def _venues(turned: DataFrame) -> DataFrame:
+    """``name, entity``: the venue spellings with the id of their venue."""
+    some = turned.filter("kind = 'source'").select("name", "n", "words", F.concat_ws(" ", "words").alias("id"))
+    nodes = some.filter("size(words) > 0").groupBy("id", "words").agg(F.sum("n").alias("n"), F.count("*").alias("spelt")).withColumn("rank", F.lit(0).cast("long"))
+    nodes = settled(nodes)
+    edges = settled(_ordered(_met(nodes, ["words"], venue_keys, venue_relation), oneway=True))
+    channel = fit(edges, _mentions(nodes), CHANNEL, 4.0)
+    roots = _roots(_best(edges, channel, 4.0))
+    named = some.withColumn("id", F.when(F.size("words") > 0, F.col("id")).otherwise(F.concat(F.lit("\x1f"), "name")))
+    return named.join(roots, named["id"] == roots["v"], "left").select("name", F.coalesce("root", "id").alias("entity"))
+
+
+def linked(refs: DataFrame) -> DataFrame:
     """``kind, name, n, entity``: each distinct spelling with the canonical spelling of its entity.
 
     Names are compared as typed words: nulls and names without letters are left out, empty tables give no rows, ties go to the
-    more frequent spelling and then to the lesser one by code points, and the same input always gives the same
-    entities. Columns other than ``authors`` and ``source`` are ignored. *rounds* bounds the chains of misspelt
-    forms that are followed to their last target (a chain is as long as its errors).
+    more frequent form and then to the lesser one by code points, and the same input always gives the same
+    entities. The canonical spelling is the most frequent one of the entity. Columns other than ``authors`` and ``source``
+    are ignored. Chains of misspelt forms are followed to their end.
     """
-    parsed = spellings(refs).mapInPandas(_parsed, _PARSED)
-    turned = settled(_oriented(settled(parsed, refs.sparkSession)), refs.sparkSession)
-    block = F.when(F.col("kind") == "author", F.concat_ws("|", "a", F.substring("given", 1, 1))).otherwise(F.col("a"))
-    member = F.struct("name", "n", "a", "given", "middle", "words", "gfreq")
-    members = turned.withColumn("block", block).groupBy("kind", "block").agg(F.collect_list(member).alias("members")).select("kind", "members")
-    blocked = settled(members.mapInArrow(_blocks, _BLOCKED), refs.sparkSession)
-    forms = blocked.select("kind", "form", "a", "total", "forms", "given", "middle", "words").dropDuplicates(["kind", "form"])
-    keyed = forms.mapInPandas(_keys, _KEYED)
-    v, c = (keyed.select("key", "kind", *(F.col(x).alias(f"{side}_{x}") for x in ("form", "a", "total", "forms", "given", "middle", "words"))) for side in "vc")
-    above = (F.col("c_total") > F.col("v_total")) | ((F.col("c_total") == F.col("v_total")) & (F.col("c_form") < F.col("v_form")))
-    pairs = v.join(c, ["key", "kind"]).filter(above).drop("key")
-    hits = pairs.mapInPandas(_scored, "kind string, form string, target string, score double, c_total long")
-    best = settled(hits.groupBy("kind", "form").agg(F.max_by("target", F.struct("score", "c_total", "target")).alias("target")), refs.sparkSession)
-    entity = blocked.select("kind", "name", "n", F.col("form").alias("entity"))
-    for _ in range(rounds):
-        entity = entity.join(best.select("kind", F.col("form").alias("entity"), "target"), ["kind", "entity"], "left").select("kind", "name", "n", F.coalesce("target", "entity").alias("entity"))
-    return entity
+    parsed = settled(spellings(refs).mapInPandas(_parsed, _PARSED), refs.sparkSession)
+    turned = settled(_oriented(parsed), refs.sparkSession)
+    with ThreadPoolExecutor(2) as both:  # the two kinds have nothing in common, so their stages run side by side
+        persons, venues = both.submit(_persons, turned), both.submit(_venues, turned)
+    of = persons.result().withColumn("kind", F.lit("author")).unionByName(venues.result().withColumn("kind", F.lit("source")))
+    found = settled(turned.select("kind", "name", "n").join(of, ["kind", "name"]), refs.sparkSession)
+    leads = found.groupBy("kind", "entity").agg(_lead().alias("lead"))
+    return found.join(leads, ["kind", "entity"]).select("kind", "name", "n", F.col("lead.name").alias("entity"))
 
 
 def variant_pairs(links: DataFrame) -> DataFrame:
     """``kind, name_lo, name_hi``: the pairs of distinct spellings of one entity, name_lo < name_hi by code points.
 
-    An entity has few spellings, however many rows it has, since rows were reduced to spellings before.
+    The pairs are those of *links*, which holds the same by membership and stays as small as the spellings are.
     """
     lo = links.select("kind", "entity", F.col("name").alias("name_lo"))
     hi = links.select("kind", "entity", F.col("name").alias("name_hi"))

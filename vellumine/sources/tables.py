@@ -57,8 +57,7 @@ def settled(df: DataFrame, spark: SparkSession | None = None, columns: list[str]
     df = df.select(*columns) if columns else df
     path = f"{shared_dir(spark).rstrip('/')}/vellumine-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    written = getattr(spark.sparkContext, "_vellumine_settled", [])
-    spark.sparkContext._vellumine_settled = [*written, path]
+    vars(spark.sparkContext).setdefault("_vellumine_settled", []).append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

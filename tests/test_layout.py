@@ -65,10 +65,38 @@ def test_places_match_brute_force(spark):
 
 def test_nodes_keep_parents_ordinals_and_scalars(spark):
     nodes = {r["node"]: r for r in adjacency(middle(spark, RECORDS[0]), "rec_id", "pdf_info").collect()}
-    child = nodes["pdf_info[0]/preproc_blocks[2]/blocks[0]/lines[0]/spans[0]/image_path"]
-    assert child["scalar"] == "p.jpg" and child["parent"] in nodes and child["kind"] == "scalar"
-    assert nodes["pdf_info[0]/preproc_blocks[2]"]["ordinal"] == 2
-    assert all(n["parent"] is None or n["parent"] in nodes for n in nodes.values())
+    (child,) = [n for n in nodes.values() if n["scalar"] == "p.jpg"]
+    way = []
+    while child["parent"] is not None:
+        way.append((child["label"].split(".")[-1], child["ordinal"], child["kind"]))
+        child = nodes[child["parent"]]
+    assert way == [("image_path", None, "scalar"), ("spans[]", 0, "object"), ("spans", None, "array"), ("lines[]", 0, "object"), ("lines", None, "array"), ("blocks[]", 0, "object"), ("blocks", None, "array"), ("preproc_blocks[]", 2, "object"), ("preproc_blocks", None, "array"), ("[]", 0, "object")]
+    assert child["kind"] == "array" and all(n["parent"] is None or n["parent"] in nodes for n in nodes.values())
+
+
+def test_only_wanted_nodes_are_made(spark):
+    df = middle(spark, *RECORDS)
+    every = adjacency(df, "rec_id", "pdf_info")
+    for labels in ({"[]"}, {"[].preproc_blocks[].lines[].spans[].content", "[].preproc_blocks"}, {"[].preproc_blocks[].bbox[]"}, {""}, {"none"}):
+        wanted = every.filter(every["label"].isin(list(labels)))
+        assert rows(adjacency(df, "rec_id", "pdf_info", labels), "rec_id", "node", "label", "scalar") == rows(wanted, "rec_id", "node", "label", "scalar")
+
+
+def test_unlike_records_under_one_key_are_not_blended(spark):
+    one, two = [([block("text", (0, 0, 1, 1), [line(span("z"))])],)], [([block("code", (5, 5, 6, 6), [line(span("a"), span("b"))])],)]
+    df = middle(spark, (1, one), (1, two), (1, one))
+    assert rows(layout_tree.layout_spans(df), "content", "span_no") == [("a", 0), ("b", 1), ("z", 0)]
+    assert rows(layout_tree.layout_blocks(df), "type", "x0") == [("code", 5.0), ("text", 0.0)]
+    assert layout_tree.layout_places(df).count() == 5
+
+
+def test_rows_find_their_parents(spark):
+    df = middle(spark, *RECORDS)
+    pages, blocks, lines, spans = (rows(f(df), "rec_id", "node", "parent") for f in (layout_tree.layout_pages, layout_tree.layout_blocks, layout_tree.layout_lines, layout_tree.layout_spans))
+    of = lambda table: {(r, n) for r, n, _ in table}
+    assert all(p is None for *_, p in pages) and all((r, p) in of(pages) | of(blocks) for r, _, p in blocks)
+    assert all((r, p) in of(blocks) for r, _, p in lines) and all((r, p) in of(lines) for r, _, p in spans)
+    assert len(pages) + len(blocks) + len(lines) + len(spans) == len(brute(RECORDS))
 
 
 def test_spans_round_trip(spark):

@@ -17,6 +17,11 @@ x AS (SELECT rec_id, page_no, block_no, sub_no, line_no, unnest(l.spans) AS x, g
 
 _PLACES = "CAST(page_no AS INT) AS page_no, CAST({0} AS INT) AS block_no, CAST({1} AS INT) AS sub_no, CAST({2} AS INT) AS line_no, CAST({3} AS INT) AS span_no"
 
+_PAGE = "'pdf_info[' || page_no || ']'"
+_BLOCK = _PAGE + " || '.preproc_blocks[' || block_no || ']'"
+_SUB = _BLOCK + " || CASE WHEN sub_no >= 0 THEN '.blocks[' || sub_no || ']' ELSE '' END"
+_LINE = _SUB + " || '.lines[' || line_no || ']'"
+
 P1 = {
     "p1_found": _P1_NODES
     + "SELECT DISTINCT * FROM ("
@@ -26,11 +31,14 @@ P1 = {
     + f" UNION ALL SELECT rec_id, {_PLACES.format('block_no', 'sub_no', 'line_no', -1)} FROM l WHERE l IS NOT NULL"
     + f" UNION ALL SELECT rec_id, {_PLACES.format('block_no', 'sub_no', 'line_no', 'span_no')} FROM x WHERE x IS NOT NULL)",
     "p1_spans": _P1_NODES
-    + f"SELECT DISTINCT rec_id, {_PLACES.format('block_no', 'sub_no', 'line_no', 'span_no')}, x.bbox[1] AS x0, x.bbox[2] AS y0, x.bbox[3] AS x1, x.bbox[4] AS y1, x.score AS score,"
-    + " x.content AS content, x.type AS type, x.image_path AS image_path FROM x WHERE x IS NOT NULL",
+    + f"SELECT DISTINCT rec_id, {_PLACES.format('block_no', 'sub_no', 'line_no', 'span_no')}, {_LINE} || '.spans[' || span_no || ']' AS node, {_LINE} AS parent,"
+    + " x.bbox[1] AS x0, x.bbox[2] AS y0, x.bbox[3] AS x1, x.bbox[4] AS y1, x.score AS score, x.content AS content, x.type AS type, x.image_path AS image_path FROM x WHERE x IS NOT NULL",
+    "p1_lines": _P1_NODES
+    + f"SELECT DISTINCT rec_id, {_PLACES.format('block_no', 'sub_no', 'line_no', -1)}, {_LINE} AS node, {_SUB} AS parent, l.bbox[1] AS x0, l.bbox[2] AS y0, l.bbox[3] AS x1, l.bbox[4] AS y1 FROM l WHERE l IS NOT NULL",
     "p1_blocks": _P1_NODES
-    + f"SELECT DISTINCT rec_id, {_PLACES.format('block_no', -1, -1, -1)}, b.bbox[1] AS x0, b.bbox[2] AS y0, b.bbox[3] AS x1, b.bbox[4] AS y1, b.type AS type FROM b WHERE b IS NOT NULL"
-    + f" UNION SELECT DISTINCT rec_id, {_PLACES.format('block_no', 'sub_no', -1, -1)}, s.bbox[1], s.bbox[2], s.bbox[3], s.bbox[4], s.type FROM s WHERE s IS NOT NULL",
+    + f"SELECT DISTINCT rec_id, {_PLACES.format('block_no', -1, -1, -1)}, {_BLOCK} AS node, {_PAGE} AS parent, b.bbox[1] AS x0, b.bbox[2] AS y0, b.bbox[3] AS x1, b.bbox[4] AS y1, b.type AS type FROM b WHERE b IS NOT NULL"
+    + f" UNION SELECT DISTINCT rec_id, {_PLACES.format('block_no', 'sub_no', -1, -1)}, {_SUB}, {_BLOCK}, s.bbox[1], s.bbox[2], s.bbox[3], s.bbox[4], s.type FROM s WHERE s IS NOT NULL",
+    "p1_pages": _P1_NODES + f"SELECT DISTINCT rec_id, {_PLACES.format(-1, -1, -1, -1)}, {_PAGE} AS node, CAST(NULL AS VARCHAR) AS parent FROM p WHERE page IS NOT NULL",
 }
 
 WS = r"[\s\x0b\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"

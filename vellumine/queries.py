@@ -31,6 +31,14 @@ def p1_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layout_tree.layout_blocks(table(spark, sf_dir, "middle_json", ["rec_id", "pdf_info"]))
 
 
+def p1_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return layout_tree.layout_lines(table(spark, sf_dir, "middle_json", ["rec_id", "pdf_info"]))
+
+
+def p1_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return layout_tree.layout_pages(table(spark, sf_dir, "middle_json", ["rec_id", "pdf_info"]))
+
+
 def _items(spark: SparkSession, sf_dir: str, columns: list[str] = S.TEXT) -> DataFrame:
     return S.items(table(spark, sf_dir, "content_list"), columns=columns)
 
@@ -340,7 +348,7 @@ _OTHER: list[Query] = [
     squeeze_commands, latex_to_text, cleaned_inline, flat_schema_counts, document_status, merged_documents, merged_json, failure_report, retry_list,
     body_tree, figures_and_tables,
 ]
-_P1: list[Query] = [p1_found, p1_spans, p1_blocks]
+_P1: list[Query] = [p1_found, p1_spans, p1_blocks, p1_lines, p1_pages]
 
 
 def queries() -> dict[str, Query]:

@@ -26,6 +26,8 @@ from vellumine.sources.tables import settled
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Shards whose draws are summed up in one group.
 GROUP = 4096
+#: The blocks that a source without max_repeats may give.
+NO_CAP = 1 << 40
 # Fixed value: the public pre-tokenisation pattern of that vocabulary.
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -136,40 +138,80 @@ class Mixer:
         mix = W.partitionBy("mix_id")
         return own.withColumns({"mix_tokens": F.sum("tokens").over(mix), "mix_blocks": F.sum("blocks").over(mix)})
 
-    def unreachable(self) -> DataFrame:
-        """``mix_id, source``: targets that cannot be reached, max_repeats x tokens < target_share x tokens of the mix."""
-        short = F.col("max_repeats") * F.col("tokens") < F.col("target_share") * F.col("mix_tokens")
-        return self.capacity.filter(short).select("mix_id", "source").distinct()
-
-    @cached_property
-    def drawn(self) -> DataFrame:
-        """``mix_id, shard, source, n, before``: each shard's draws and those of the shards before it, to at most max_repeats x blocks."""
-        slots, seed = self.slots, self.seed
-        mixes = self.capacity.filter("source is not null and target_share > 0").groupBy("mix_id", "mix_blocks").agg(F.sort_array(F.collect_list(F.struct("source", "target_share", "blocks", "max_repeats"))).alias("of"))
-        mixes = mixes.filter("mix_blocks > 0").withColumn("shards", F.ceil(F.col("mix_blocks") / slots))
-        groups = mixes.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("shards") - 1) / GROUP))).alias("g"))
-        last = F.least((F.col("g") + 1) * GROUP, F.col("shards")) - 1
-        shards = groups.select("mix_id", "mix_blocks", "of", F.explode(F.sequence(F.col("g") * GROUP, last)).alias("shard"))
+    def _multinomials(self, asked: DataFrame, round_: int) -> DataFrame:
+        """``mix_id, shard, source, n, blocks, cap`` of rows ``mix_id, shard, slots, of``: *slots* slots of a shard drawn
+        among the sources *of* by their shares; the draws depend on seed, mix, shard and round only."""
+        seed = self.seed
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for pdf in batches:
                 rows = []
-                for mix, shard, of, total in zip(pdf["mix_id"], pdf["shard"], pdf["of"], pdf["mix_blocks"]):
+                for mix, shard, slots, of in zip(pdf["mix_id"], pdf["shard"], pdf["slots"], pdf["of"]):
                     shares = np.array([x["target_share"] for x in of], dtype=float)
-                    most = int(min(slots, total - shard * slots))
-                    counts = np.random.default_rng([seed, int(mix) & 0xFFFFFFFF, int(shard)]).multinomial(most, shares / shares.sum())
-                    rows.extend((mix, shard, x["source"], int(n), x["blocks"], x["blocks"] * x["max_repeats"] if x["max_repeats"] is not None else 0) for x, n in zip(of, counts) if n)
+                    counts = np.random.default_rng([seed, int(mix) & 0xFFFFFFFF, int(shard), round_]).multinomial(int(slots), shares / shares.sum())
+                    rows.extend((mix, shard, x["source"], int(n), x["blocks"], x["cap"]) for x, n in zip(of, counts) if n)
                 yield pd.DataFrame(rows, columns=["mix_id", "shard", "source", "n", "blocks", "cap"])
 
         kind = self.targets.schema["mix_id"].dataType.simpleString()
-        draws = shards.mapInPandas(run, f"mix_id {kind}, shard long, source string, n long, blocks long, cap long")
-        # sums over the shards before: of whole groups of shards, and within the group, so that no task gets all shards
+        return asked.mapInPandas(run, f"mix_id {kind}, shard long, source string, n long, blocks long, cap long")
+
+    def _numbered(self, draws: DataFrame, taken: DataFrame | None = None) -> DataFrame:
+        """The draws with *before*, the slots of the source in the shards before (and those *taken* earlier), and *granted*,
+        what is left of the cap for them. Sums are of groups of shards and within them, so that no task gets all shards."""
         draws = draws.withColumn("g", F.floor(F.col("shard") / GROUP))
         by_group = draws.groupBy("mix_id", "source", "g").agg(F.sum("n").alias("group_n"))
         earlier = F.sum("group_n").over(W.partitionBy("mix_id", "source").orderBy("g")) - F.col("group_n")
         draws = draws.join(by_group.withColumn("earlier", earlier).drop("group_n"), ["mix_id", "source", "g"])
+        if taken is not None:
+            draws = draws.join(taken, ["mix_id", "source"]).withColumn("earlier", F.col("earlier") + F.col("taken")).drop("taken")
         within = F.sum("n").over(W.partitionBy("mix_id", "source", "g").orderBy("shard")) - F.col("n")
-        return draws.withColumn("before", F.col("earlier") + within).drop("g", "earlier").withColumn("n", F.least(F.col("n"), F.greatest(F.col("cap") - F.col("before"), F.lit(0)))).filter("n > 0")
+        draws = draws.withColumn("before", F.col("earlier") + within).drop("g", "earlier")
+        return draws.withColumn("granted", F.least(F.col("n"), F.greatest(F.col("cap") - F.col("before"), F.lit(0))))
+
+    @cached_property
+    def first_draws(self) -> DataFrame:
+        """The draws of all slots by target shares: as many slots as the mix's sources have blocks, in shards."""
+        slots, by = self.slots, F.struct("source", "target_share", "blocks", F.coalesce(F.col("max_repeats").cast("long") * F.col("blocks"), F.lit(NO_CAP)).alias("cap"))
+        mixes = self.capacity.filter("source is not null and target_share > 0").groupBy("mix_id", "mix_blocks").agg(F.sort_array(F.collect_list(by)).alias("of"))
+        mixes = mixes.filter("mix_blocks > 0").withColumn("shards", F.ceil(F.col("mix_blocks") / slots))
+        groups = mixes.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("shards") - 1) / GROUP))).alias("g"))
+        last = F.least((F.col("g") + 1) * GROUP, F.col("shards")) - 1
+        shards = groups.select("mix_id", "of", "mix_blocks", F.explode(F.sequence(F.col("g") * GROUP, last)).alias("shard"))
+        shards = shards.select("mix_id", "shard", F.least(F.lit(slots).cast("long"), F.col("mix_blocks") - F.col("shard") * slots).alias("slots"), "of")
+        return settled(self._numbered(self._multinomials(shards, 0)), self.spark)
+
+    def unreachable(self) -> DataFrame:
+        """``mix_id, source``: targets that cannot be reached, max_repeats x tokens < target_share x tokens of the mix.
+
+        The draws tell: a source falls short if its slots, drawn by target shares, go beyond its cap of blocks. Draws
+        scatter by less than six deviations, and blocks are whole but for one of each part, so what is not beyond
+        the cap by that much or below it is held against the exact tokens.
+        """
+        asked = self.first_draws.groupBy("mix_id", "source").agg(F.sum("n").alias("asked"))
+        parts = self.parts.groupBy("source").agg(F.count("*").alias("parts"))
+        own = self.capacity.join(asked, ["mix_id", "source"], "left").join(parts, "source", "left").fillna(0, ["asked", "parts"])
+        share = F.least(F.greatest(F.col("target_share"), F.lit(0.0)), F.lit(1.0))
+        rounding = F.col("max_repeats") * F.col("parts") + F.col("mix_parts")
+        scatter = 6 * F.sqrt(F.col("mix_blocks") * share * (1 - share)) + rounding + 1
+        own = own.withColumn("mix_parts", F.sum("parts").over(W.partitionBy("mix_id")))
+        may = own.filter((F.col("target_share") > 0) & (F.col("asked") + scatter >= F.col("max_repeats") * F.col("blocks")))
+        return may.filter(F.col("max_repeats") * F.col("tokens") < F.col("target_share") * F.col("mix_tokens")).select("mix_id", "source").distinct()
+
+    @cached_property
+    def drawn(self) -> DataFrame:
+        """``mix_id, shard, source, n, blocks, before``: each shard's draws and those before it, to at most max_repeats x blocks.
+
+        Slots that a source could not give are drawn once more among the sources of the mix that have blocks left.
+        """
+        first = self.first_draws
+        taken = first.groupBy("mix_id", "source", "blocks", "cap").agg(F.sum("granted").alias("taken"))
+        left = self.capacity.filter("source is not null and target_share > 0 and blocks > 0").join(taken.select("mix_id", "source", "taken"), ["mix_id", "source"], "left").fillna(0, ["taken"])
+        left = left.withColumn("cap", F.coalesce(F.col("max_repeats").cast("long") * F.col("blocks"), F.lit(NO_CAP))).filter("cap > taken")
+        of = left.groupBy("mix_id").agg(F.sort_array(F.collect_list(F.struct("source", "target_share", "blocks", "cap"))).alias("of"))
+        short = first.groupBy("mix_id", "shard").agg(F.sum(F.col("n") - F.col("granted")).alias("slots")).filter("slots > 0").join(of, "mix_id")
+        second = self._numbered(self._multinomials(short.select("mix_id", "shard", "slots", "of"), 1), left.select("mix_id", "source", "taken"))
+        columns = ["mix_id", "shard", "source", F.col("granted").alias("n"), "blocks", "before"]
+        return first.select(*columns).unionByName(second.select(*columns)).filter("n > 0")
 
     @cached_property
     def slotted(self) -> DataFrame:

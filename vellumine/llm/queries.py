@@ -78,7 +78,7 @@ def p6_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return p6_leaks(spark, sf_dir).select("doc_id", "item_id")
+    return p6_leaks(spark, sf_dir).filter("kind = 'exact'").select("doc_id", "item_id")
 
 
 def p6_items(spark: SparkSession, sf_dir: str) -> DataFrame:

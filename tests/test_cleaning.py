@@ -67,10 +67,16 @@ def test_malformed_and_missing_xml(spark):
 
 def test_references(spark):
     one = (
-        '<biblStruct><analytic><title level="a">Sub</title><title level="a" type="main">Main</title><author><persName><surname>S</surname></persName></author></analytic><monogr><title>J</title>'
-        '<imprint><biblScope unit="volume">2</biblScope><biblScope unit="issue">3</biblScope><biblScope unit="page" from="4"/><date>1999-05</date></imprint></monogr><note type="raw_reference">raw</note></biblStruct>'
+        '<biblStruct><analytic><title level="a">Sub</title><title level="a" type="main">Main</title><author><persName><surname>S</surname></persName></author></analytic><monogr><title>J</title><title>K</title>'
+        '<imprint><biblScope unit="volume">2</biblScope><biblScope unit="issue">3</biblScope><biblScope unit="page" from="4"/><date>1999-05</date></imprint></monogr><note type="raw_reference">raw &amp; more</note></biblStruct>'
     )
-    xml = f"{NS}<text><back><div><listBibl>{one}<biblStruct><monogr/></biblStruct></listBibl></div></back></text></TEI>"
-    docs = spark.createDataFrame([(1, xml), (2, None), (3, "<x"), (4, NS + "</TEI>")], "doc_id long, tei_references string")
+    two = '<biblStruct xml:id="b1"><monogr><title>Book <hi>Two</hi></title><imprint><date type="x"/><date when="2001-02">May</date><biblScope unit="page" from="1" to="9"/></imprint></monogr></biblStruct>'
+    head = "<teiHeader><fileDesc><sourceDesc><biblStruct><analytic><title>Own</title></analytic></biblStruct></sourceDesc></fileDesc></teiHeader>"
+    xml = f"{NS}{head}<text><body><p>x</p></body><back><div type='a'><listBibl>{one}<!-- <biblStruct/> --></listBibl></div><div type='b'><div><listBibl n='2'>{two}<biblStruct/></listBibl></div></div></back></text></TEI>"
+    docs = spark.createDataFrame([(1, xml), (2, None), (3, "<x"), (4, NS + "</TEI>"), (5, f"{NS}<text><listBibl>{one}</text></TEI>"), (6, f"<t:TEI xmlns:t='u'><t:listBibl/><t:listBibl></t:listBibl></t:TEI>")], "doc_id long, tei_references string")
     got = rows(tei.references_of(docs), "doc_id", "ref_id", "title", "authors", "source", "volume", "issue_no", "pages", "publication_year", "raw_text")
-    assert got == [(1, "ref1", "Main", ["S"], "J", "2", "3", None, "1999", "raw"), (1, "ref2", None, None, None, None, None, None, None, None)]
+    assert got == [
+        (1, "ref1", "Sub", ["S"], "J", "2", "3", None, "1999", "raw & more"),
+        (1, "ref2", None, None, "Book Two", None, None, "1-9", "2001", None),
+        (1, "ref3", None, None, None, None, None, None, None, None),
+    ]

@@ -85,6 +85,62 @@ def test_command_line(spark, folder):
     assert report == [("a", "metadata", "NO_METADATA"), ("b", "read", "MALFORMED_JSON")]
 
 
+def pdf(info: bytes, trailer: bytes = b"trailer << /Root 1 0 R /Info 2 0 R >>") -> bytes:
+    return b"%PDF-1.5\n1 0 obj << /Type /Catalog >> endobj\n2 0 obj << " + info + b" >> endobj\n" + trailer + b"\nstartxref 0\n%%EOF"
+
+
+def test_pdf_information(spark):
+    import zlib
+
+    from vellumine.sources.pdf_info import article_id, article_ids, information
+
+    assert information(pdf(rb"/Title (A \(small\) \344\n(nested) one) /IEEE#20Article#20ID (5937123) /Trapped /False")) == {"Title": "A (small) ä\n(nested) one", "IEEE Article ID": "5937123", "Trapped": "False"}
+    assert information(pdf(b"/Title <FEFF00E40062>")) == {"Title": "äb"}
+    body = zlib.compress(b"7 0 2 4 << >><< /IEEE#20Article#20ID (42) >>")
+    packed = b"%PDF-1.5\n9 0 obj << /Type /ObjStm /N 2 /First 8 /Filter /FlateDecode >> stream\n" + body + b"\nendstream endobj\n8 0 obj << /Type /XRef /Info 2 0 R >> stream\nx\nendstream endobj"
+    assert article_id(packed) == "42" and article_id(pdf(b"/Title (x)")) is None and article_id(b"no pdf") is None and article_id(b"") is None
+    docs = spark.createDataFrame([("a", pdf(b"/IEEE#20Article#20ID (7)")), ("b", b"\x00"), ("c", None)], "doc_id string, content binary")
+    assert rows(article_ids().apply(docs)) == [("a", "7", None), ("b", None, None), ("c", None, None)]
+
+
+def test_text_layer(spark):
+    from vellumine.sources.providers import text_layer
+
+    docs = spark.createDataFrame([("a", b"x"), ("b", b"")], "doc_id string, content binary")
+    got = text_layer(lambda: lambda c: c + b"+" if c else 1 / 0).apply(docs)
+    assert sorted((r[0], None if r[1] is None else bytes(r[1]), r[2]) for r in got.collect()) == [("a", b"x+", None), ("b", None, "ZeroDivisionError")]
+
+
+def test_metadata_command(spark, tmp_path):
+    import http.server
+    import threading
+
+    from tests.test_cleaning import HEADER, NS
+
+    class Service(http.server.BaseHTTPRequestHandler):
+        def do_POST(self):
+            body = self.rfile.read(int(self.headers["Content-Length"]))
+            answer = (HEADER if "Header" in self.path else f"{NS}<text><listBibl><biblStruct><monogr><title>J</title></monogr></biblStruct></listBibl></text></TEI>").encode()
+            self.send_response(500 if b"bad" in body else 200)
+            self.end_headers()
+            self.wfile.write(answer)
+
+        def log_message(self, *args):
+            pass
+
+    server = http.server.ThreadingHTTPServer(("127.0.0.1", 0), Service)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in/one.pdf").write_bytes(b"good")
+    (tmp_path / "in/two.pdf").write_bytes(b"bad")
+    cli.main(["metadata", str(tmp_path / "in"), "-o", str(tmp_path / "out"), "--url", f"http://127.0.0.1:{server.server_port}", "-q"])
+    server.shutdown()
+    got = spark.read.parquet(str(tmp_path / "out/metadata"))
+    assert rows(got.selectExpr("doc_id", "header.title", "refs[0].source")) == [("one.pdf", "My Title", "J"), ("two.pdf", None, None)]
+    assert rows(spark.read.json(str(tmp_path / "out/failures")), "title", "provider_error") == [("two.pdf", "HTTPError")]
+    assert {r["step"] for r in spark.read.json(str(tmp_path / "out/timing")).collect()} == {"service", "records", "failures"}
+
+
 SF = "/root/testdata/sf0.001"
 
 

@@ -159,3 +159,13 @@ def test_latest_delivery(spark):
 
 def test_citations(spark):
     assert spark.range(1).select(X.citations(F.lit("see [1], [23] and [x]"))).first()[0] == ["1", "23"]
+
+
+def test_unlike_rows_at_one_place_keep_one_order(spark):
+    base = content(spark, (1, D1))
+    more = spark.createDataFrame([(1, 3, "text", x, None, 0, None, None, None, None) for x in ("Other words.", "More words.")] + [(1, 8, "image", None, None, 0, "z.jpg", ["Fig. 9."], None, None)], SCHEMA)
+    got = []
+    for df in (base.union(more), more.repartition(3).union(base.orderBy("idx", ascending=False))):
+        o = S.outlined(S.items(df))
+        got.append((rows(S.paragraphs(o)), rows(S.figures(o)), rows(pipeline.flat_schema(S.items(df)))))
+    assert got[0] == got[1] and len(got[0][0]) == 7

@@ -18,7 +18,15 @@ ISBN = r"ISBN\s+\d{1,5}-\d{1,7}-\d{1,7}-\d{1,7}-\d{1}"
 COPYRIGHT = r"©\s*\d{4}\s*IEEE"
 YEAR_PUBLISHER = r"\b\d{4}\b\s*IEEE"
 # Bare names before which a backslash is restored.
-BARE_COMMANDS = "text frac sqrt sum int lim log sin cos tan hbox mu ohm omega".split()
+BARE_COMMANDS = ["text", "frac", "sqrt", "sum", "int", "lim", "log", "sin", "cos", "tan", "hbox", "mu", "ohm", "omega"]
+# The patterns that spell math out, and what they become, in their order.
+MATH_PATTERNS = [
+    (r"\\frac\s*\{(.*?)\}\s*\{(.*?)\}", r"($1) / ($2)"),
+    (r"\\sqrt\s*\{(.*?)\}", r"sqrt($1)"),
+    (r"\\text\{([^}]*)\}", r"$1"),
+    (r"\^\{(.*?)\}", r"^$1"),
+    (r"_\{(.*?)\}", r"_$1"),
+]
 
 
 def strip(text: Column) -> Column:
@@ -62,11 +70,9 @@ def normalise_malformed(text: Column) -> Column:
 
 def math_to_text(text: Column) -> Column:
     """Fractions, roots, text groups and braced sub- and superscripts in plain notation."""
-    text = F.regexp_replace(text, r"\\frac\s*\{(.*?)\}\s*\{(.*?)\}", r"($1) / ($2)")
-    text = F.regexp_replace(text, r"\\sqrt\s*\{(.*?)\}", r"sqrt($1)")
-    text = F.regexp_replace(text, r"\\text\{([^}]*)\}", r"$1")
-    text = F.regexp_replace(text, r"\^\{(.*?)\}", r"^$1")
-    return F.regexp_replace(text, r"_\{(.*?)\}", r"_$1")
+    for pattern, plain in MATH_PATTERNS:
+        text = F.regexp_replace(text, pattern, plain)
+    return text
 
 
 def tidy_latex(text: Column) -> Column:

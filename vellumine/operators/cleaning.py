@@ -59,7 +59,7 @@ def cleaned(items: DataFrame) -> DataFrame:
 
     def run(ids: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         columns = ["idx", "type", "text", "text_level", "bad", "clean"]
-        rows = [dict(zip(columns, (i, t, x, None if pd.isna(v) else int(v), b, c))) for i, t, x, v, b, c in pdf.sort_values("idx", kind="stable")[columns].itertuples(index=False)]
+        rows = [dict(zip(columns, (i, t, x, None if pd.isna(v) else int(v), b, c))) for i, t, x, v, b, c in pdf.sort_values(["idx", "text"], kind="stable")[columns].itertuples(index=False)]
         out, error = fold(rows)
         table = [(ids[0], r["idx"], r["type"], r["text"], r["text_level"], None) for r in out] if not error else [(ids[0], None, None, None, None, error)]
         return pd.DataFrame(table, columns=["doc_id", "idx", "type", "text", "text_level", "error_code"]).astype({"idx": "Int32", "text_level": "Int32"})
@@ -83,7 +83,7 @@ def cleaned_isolated(items: DataFrame) -> DataFrame:
     """
     rows = items.filter((F.col("type") == "text") & (F.coalesce("text_level", F.lit(0)) == 0)).select("doc_id", "idx", F.coalesce("text", F.lit("")).alias("raw"))
     rows = rows.withColumns({"bad": X.is_boilerplate(F.col("raw")), "flat": F.when(F.instr("raw", "\n") > 0, F.regexp_replace(F.replace("raw", F.lit("\n"), F.lit("")), r"(?U)\s+", " ")).otherwise(F.col("raw"))})
-    order = W.partitionBy("doc_id").orderBy("idx")
+    order = W.partitionBy("doc_id").orderBy("idx", "raw")
     open_before = F.coalesce(F.lag("bad").over(order) & ~F.lag("flat", 2).over(order).endswith("."), F.lag("bad").over(order) & F.lag("flat", 2).over(order).isNotNull() & ~F.lag("flat", 2).over(order).endswith("."), F.lit(False))
     joined = F.when(F.lead("bad").over(order) & ~F.col("flat").endswith("."), F.concat_ws(" ", "flat", F.lead("raw", 2).over(order))).otherwise(F.col("flat"))
     return rows.select("doc_id", "idx", "bad", open_before.alias("gone"), joined.alias("text")).filter("not bad and not gone").select("doc_id", "idx", "text")

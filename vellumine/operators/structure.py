@@ -23,8 +23,12 @@ def _doc():
     return W.partitionBy("doc_id")
 
 
+#: Reading order: the place and, of unlike rows at one place, a number made of what they say, so that the order is always the same.
+ORDER = ["idx", "tie"]
+
+
 def _read():
-    return _doc().orderBy("idx")
+    return _doc().orderBy(*ORDER)
 
 
 def _so_far():
@@ -48,7 +52,7 @@ def outlined(rows: DataFrame) -> DataFrame:
     ``is_section`` for headings in the body; ``node_idx, sec_no, sub_no, sec_id`` of the latest heading; ``in_text``
     where the row belongs to that heading's own text. A null text is an empty one.
     """
-    base = rows.withColumns({"stripped": X.strip(F.coalesce("text", F.lit(""))), "is_header": F.coalesce((F.col("text_level") == 1) & F.col("type").contains("text"), F.lit(False))})
+    base = rows.withColumns({"stripped": X.strip(F.coalesce("text", F.lit(""))), "is_header": F.coalesce((F.col("text_level") == 1) & F.col("type").contains("text"), F.lit(False)), "tie": F.xxhash64(*(c for c in rows.columns if c not in ("doc_id", "idx")))})
     base = base.withColumn("prefix", H.prefix(F.col("stripped"))).withColumn("format", H.prefix_format(F.col("prefix")))
     intro = F.min(F.when(F.col("is_header") & F.col("stripped").rlike("(?i)introduction"), F.struct("idx", "format"))).over(_doc())
     end = F.min(F.when(F.col("is_header") & F.col("stripped").rlike("(?i)references"), F.col("idx"))).over(_doc())
@@ -57,10 +61,10 @@ def outlined(rows: DataFrame) -> DataFrame:
     node = F.coalesce(F.col("is_header") & (F.col("idx") >= F.col("intro_idx")) & (F.col("idx") < F.col("body_end")), F.lit(False))
     base = base.withColumn("is_node", node).withColumn("is_section", F.col("is_node") & (F.col("format") == F.col("intro_format")))
     base = base.withColumns({"node_idx": F.last(F.when(F.col("is_node"), F.col("idx")), ignorenulls=True).over(_so_far()), "sec_no": F.sum(F.col("is_section").cast("int")).over(_so_far())})
-    in_section = W.partitionBy("doc_id", "sec_no").orderBy("idx").rowsBetween(W.unboundedPreceding, W.currentRow)
+    in_section = W.partitionBy("doc_id", "sec_no").orderBy(*ORDER).rowsBetween(W.unboundedPreceding, W.currentRow)
     base = base.withColumn("sub_no", F.sum((F.col("is_node") & ~F.col("is_section")).cast("int")).over(in_section))
     stray = F.coalesce((F.col("text_level") == 1) & ~F.col("is_node"), F.lit(False)).cast("int")
-    in_node = W.partitionBy("doc_id", "node_idx").orderBy("idx").rowsBetween(W.unboundedPreceding, W.currentRow)
+    in_node = W.partitionBy("doc_id", "node_idx").orderBy(*ORDER).rowsBetween(W.unboundedPreceding, W.currentRow)
     owned = F.col("node_idx").isNotNull() & ~F.col("is_node") & (F.col("idx") < F.col("body_end")) & (F.sum(stray).over(in_node) == 0)
     sec_id = F.when(F.col("sub_no") > 0, F.concat_ws(".", "sec_no", "sub_no")).otherwise(F.col("sec_no").cast("string"))
     return base.withColumns({"in_text": owned, "sec_id": F.when(F.col("node_idx").isNotNull(), sec_id)})
@@ -80,7 +84,7 @@ def bounds(outline: DataFrame) -> DataFrame:
 
 def sections(outline: DataFrame) -> DataFrame:
     """``doc_id, sec_id, sec_no, sub_no, idx, prefix, title, format, level, region_start, region_end`` in reading order of idx."""
-    nodes = outline.filter("is_node").select("doc_id", "idx", "prefix", F.col("stripped").alias("title"), "format", "is_section", "body_end", "sec_no", "sub_no", "sec_id")
+    nodes = outline.filter("is_node").select("doc_id", *ORDER, "prefix", F.col("stripped").alias("title"), "format", "is_section", "body_end", "sec_no", "sub_no", "sec_id")
     after = F.lead("idx").over(_read())
     top = F.min(F.when(F.col("is_section"), F.col("idx"))).over(_read().rowsBetween(1, W.unboundedFollowing))
     last = F.coalesce(F.when(F.col("is_section"), top).otherwise(after), F.col("body_end")) - 1
@@ -92,7 +96,7 @@ def walked(outline: DataFrame) -> DataFrame:
     """The rows of all sections' own texts, with ``para_id`` where a row is a paragraph and ``carried_para`` for equations."""
     own = outline.filter("in_text")
     is_para = F.coalesce(F.col("type").startswith("text"), F.lit(False)) & (F.col("stripped") != "")
-    by_kind = W.partitionBy("doc_id", "node_idx", "is_para").orderBy("idx")
+    by_kind = W.partitionBy("doc_id", "node_idx", "is_para").orderBy(*ORDER)
     own = own.withColumn("is_para", is_para).withColumn("para_no", F.when(F.col("is_para"), F.row_number().over(by_kind)))
     own = own.withColumn("para_id", F.when(F.col("is_para"), F.concat(F.col("sec_id"), F.lit("_p"), F.col("para_no"))))
     return own.withColumn("carried_para", F.last("para_id", ignorenulls=True).over(_so_far()))
@@ -109,7 +113,7 @@ def equations(outline: DataFrame) -> DataFrame:
     The number starts at 0 in each section, so ids may repeat. Without any paragraph before it an equation has none.
     """
     own = walked(outline).filter(F.col("type").startswith("equation") & (F.col("stripped") != ""))
-    k = F.row_number().over(W.partitionBy("doc_id", "node_idx").orderBy("idx")) - 1
+    k = F.row_number().over(W.partitionBy("doc_id", "node_idx").orderBy(*ORDER)) - 1
     return own.select("doc_id", F.concat(F.col("carried_para"), F.lit("_eq"), k.cast("string")).alias("eq_id"), F.col("carried_para").alias("para_id"), "idx", F.col("stripped").alias("raw_latex"))
 
 
@@ -121,7 +125,7 @@ def paragraph_order(paras: DataFrame) -> DataFrame:
 
 def equation_order(eqs: DataFrame) -> DataFrame:
     """The equations with ``rank``, the place in plain order of their ids, ties in reading order."""
-    return eqs.withColumn("rank", F.row_number().over(_doc().orderBy("eq_id", "idx")).cast("long"))
+    return eqs.withColumn("rank", F.row_number().over(_doc().orderBy("eq_id", "idx", "raw_latex")).cast("long"))
 
 
 def figures(outline: DataFrame, bounded: bool = True) -> DataFrame:
@@ -157,7 +161,7 @@ def region_content(outline: DataFrame, compat: bool = True) -> DataFrame:
     own = outline.filter("in_text").withColumn("is_text", F.coalesce(F.col("type").startswith("text"), F.lit(False)))
     if not compat:
         return own.filter("is_text and stripped <> ''").select("doc_id", "sec_id", "idx", F.col("stripped").alias("text"))
-    last = F.last(F.when(F.col("is_text"), F.col("stripped")), ignorenulls=True).over(W.partitionBy("doc_id", "node_idx").orderBy("idx").rowsBetween(W.unboundedPreceding, W.currentRow))
+    last = F.last(F.when(F.col("is_text"), F.col("stripped")), ignorenulls=True).over(W.partitionBy("doc_id", "node_idx").orderBy(*ORDER).rowsBetween(W.unboundedPreceding, W.currentRow))
     return own.withColumn("said", last).filter("not is_text or stripped <> ''").select("doc_id", "sec_id", "idx", F.col("said").alias("text"))
 
 
@@ -175,7 +179,7 @@ def body_text(outline: DataFrame, compat: bool = True) -> DataFrame:
     last_sub = F.max("sub_no").over(W.partitionBy("doc_id", "sec_no", "subsection")) == F.col("sub_no")
     kept = nodes.withColumns({"a": last_section, "b": last_sub}).filter("a and b").select("doc_id", "sec_id", "section", "subsection")
     text = region_content(outline, compat)
-    n = F.row_number().over(W.partitionBy("doc_id", "sec_id").orderBy("idx")) - 1
+    n = F.row_number().over(W.partitionBy("doc_id", "sec_id").orderBy("idx", "text")) - 1
     return text.withColumn("n", n.cast("long")).join(kept, ["doc_id", "sec_id"]).select("doc_id", "section", "subsection", "n", "text")
 
 

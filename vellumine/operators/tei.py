@@ -14,15 +14,10 @@ from vellumine.functions.text import none_if_empty, strip
 _NAME = "struct<forename:array<string>,surname:string>"
 _AUTHOR = f"struct<persName:{_NAME}>"
 HEADER_SHAPE = f"teiHeader struct<fileDesc:struct<sourceDesc:struct<biblStruct:struct<analytic:struct<author:array<{_AUTHOR}>>>>>>, _corrupt_record string"
-_TITLE = "struct<_VALUE:string,_level:string,_type:string>"
-_SCOPE = "struct<_VALUE:string,_unit:string,_from:string,_to:string>"
-_DATE = "struct<_VALUE:string,_when:string>"
-_BIBL = (
-    f"struct<analytic:struct<title:array<{_TITLE}>,author:array<{_AUTHOR}>>,"
-    f"monogr:struct<title:array<{_TITLE}>,imprint:struct<biblScope:array<{_SCOPE}>,date:array<{_DATE}>>>,"
-    "note:array<struct<_VALUE:string,_type:string>>>"
-)
-REFERENCES_SHAPE = f"text struct<back:struct<div:struct<listBibl:struct<biblStruct:array<{_BIBL}>>>>>, _corrupt_record string"
+REFERENCE_SHAPE = f"analytic struct<author:array<{_AUTHOR}>>"
+# A reference and the list that holds it, as they stand in the text, at any depth; comments are taken out before.
+_LIST = r"(?s)<(?:\w+:)?listBibl\b[^>]*(?<!/)>(.*?)</(?:\w+:)?listBibl\s*>"
+_ONE = r"(?s)<(?:\w+:)?biblStruct\b(?:[^>]*/>|.*?</(?:\w+:)?biblStruct\s*>)"
 
 # Names of the record's fields, in their order.
 HEADER_FIELDS = [
@@ -59,8 +54,6 @@ def header_record(xml: Column) -> Column:
         "to": scope.format("page") + "/@to",
         "abstract": "//abstract",
     }
-    # one path for all values, so that a text is parsed once; the separator cannot stand in XML
-    joined = F.xpath_string(xml, F.lit("concat(" + f", '{_APART}', ".join(f"string({path})" for path in paths.values()) + ")"))
 
     def record(bound: Column) -> Column:
         at = {name: F.get(bound["values"], F.lit(i)) for i, name in enumerate(paths)}
@@ -76,7 +69,7 @@ def header_record(xml: Column) -> Column:
         return F.struct(*(none_if_empty(f).alias(name) for f, name in zip(fields, HEADER_FIELDS)))
 
     authors = shape["teiHeader"]["fileDesc"]["sourceDesc"]["biblStruct"]["analytic"]["author"]
-    once = F.array(F.struct(F.split(joined, _APART).alias("values"), authors.alias("authors")))  # bound, so that no field reads it anew
+    once = F.array(F.struct(_values(xml, paths).alias("values"), authors.alias("authors")))  # bound, so that no field reads it anew
     return F.when(sound, F.get(F.transform(once, record), F.lit(0)))
 
 
@@ -85,39 +78,51 @@ def headers_of(documents: DataFrame, doc: str = "doc_id", xml: str = "tei_header
     return documents.select(F.col(doc), header_record(F.col(xml)).alias("r")).select(doc, "r.*")
 
 
-def _scope(bib: Column, unit: str, part: str = "_VALUE") -> Column:
-    found = F.filter(bib["monogr"]["imprint"]["biblScope"], lambda s: s["_unit"] == unit)
-    return F.coalesce(F.get(found, F.lit(0))[part], F.lit(""))
+def _values(xml: Column, paths: dict[str, str]) -> Column:
+    """The strings of all *paths* by one path, so that a text is parsed once; the separator cannot stand in XML."""
+    return F.split(F.xpath_string(xml, F.lit("concat(" + f", '{_APART}', ".join(f"string({path})" for path in paths.values()) + ")")), _APART)
+
+
+# Where a reference's values are: each path gives the first node in document order.
+_REFERENCE_PATHS = {
+    "title": "/*/analytic/title",
+    "source": "/*/monogr/title",
+    "volume": "//biblScope[@unit='volume']",
+    "issue": "//biblScope[@unit='issue']",
+    "from": "//biblScope[@unit='page']/@from",
+    "to": "//biblScope[@unit='page']/@to",
+    "when": "//date/@when",
+    "date": "//date",
+    "raw": "/*/note[@type='raw_reference']",
+}
 
 
 def references_of(documents: DataFrame, doc: str = "doc_id", xml: str = "tei_references") -> DataFrame:
     """``doc_id, ref_id, n, title, authors, source, volume, issue_no, pages, publication_year, raw_text``.
 
-    References are numbered from 1 in document order. Pages need both ends; an absent value, or an empty one, is null.
-    A document whose XML is null, malformed or without references gives no rows.
+    The references are those of every list in the text, wherever it stands, numbered from 1 in document order; the title is
+    the first analytic title. Pages need both ends; an absent value, or an empty one, is null. A document whose XML is
+    null, malformed or without references gives no rows.
     """
-    shape = F.from_xml(F.col(xml), REFERENCES_SHAPE, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
-    bib = F.col("b")
-    rows = documents.filter(F.col(xml).isNotNull()).select(F.col(doc), shape.alias("x")).filter("x._corrupt_record is null")
-    rows = rows.select(doc, F.posexplode("x.text.back.div.listBibl.biblStruct").alias("i", "b"))
-    main = F.filter(bib["analytic"]["title"], lambda t: (t["_level"] == "a") & (t["_type"] == "main"))
-    title = F.coalesce(F.get(F.array_compact(F.array(F.get(main, F.lit(0)), F.get(bib["analytic"]["title"], F.lit(0)))), F.lit(0))["_VALUE"], F.lit(""))
-    lo, hi = _scope(bib, "page", "_from"), _scope(bib, "page", "_to")
-    date = F.get(bib["monogr"]["imprint"]["date"], F.lit(0))
-    names = _full_names(bib["analytic"]["author"])
-    note = F.get(F.filter(bib["note"], lambda n: n["_type"] == "raw_reference"), F.lit(0))["_VALUE"]
+    sound = F.from_xml(F.col(xml), "text string, _corrupt_record string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
+    rows = documents.filter(F.col(xml).isNotNull()).select(F.col(doc), F.regexp_replace(xml, r"(?s)<!--.*?-->", "").alias("x"), sound["_corrupt_record"].isNull().alias("sound")).filter("sound")
+    lists = F.regexp_extract_all("x", F.lit(_LIST), F.lit(1))
+    rows = rows.select(doc, F.posexplode(F.flatten(F.transform(lists, lambda part: F.regexp_extract_all(part, F.lit(_ONE), F.lit(0))))).alias("i", "b"))
+    names = _full_names(F.from_xml(F.col("b"), REFERENCE_SHAPE, {"mode": "PERMISSIVE"})["analytic"]["author"])
+    rows = rows.select(doc, "i", names.alias("names"), _values(F.col("b"), _REFERENCE_PATHS).alias("v"))
+    at = {name: F.get("v", F.lit(i)) for i, name in enumerate(_REFERENCE_PATHS)}
     return rows.select(
         doc,
         F.concat(F.lit("ref"), F.col("i") + 1).alias("ref_id"),
         (F.col("i") + 1).cast("long").alias("n"),
-        none_if_empty(title).alias("title"),
-        F.when(F.size(names) > 0, names).alias("authors"),
-        none_if_empty(F.coalesce(F.get(bib["monogr"]["title"], F.lit(0))["_VALUE"], F.lit(""))).alias("source"),
-        none_if_empty(_scope(bib, "volume")).alias("volume"),
-        none_if_empty(_scope(bib, "issue")).alias("issue_no"),
-        F.when((lo != "") & (hi != ""), F.concat_ws("-", lo, hi)).alias("pages"),
-        none_if_empty(F.substring(F.coalesce(none_if_empty(date["_when"]), date["_VALUE"], F.lit("")), 1, 4)).alias("publication_year"),
-        none_if_empty(note).alias("raw_text"),
+        none_if_empty(at["title"]).alias("title"),
+        F.when(F.size("names") > 0, F.col("names")).alias("authors"),
+        none_if_empty(at["source"]).alias("source"),
+        none_if_empty(at["volume"]).alias("volume"),
+        none_if_empty(at["issue"]).alias("issue_no"),
+        F.when((at["from"] != "") & (at["to"] != ""), F.concat_ws("-", at["from"], at["to"])).alias("pages"),
+        none_if_empty(F.substring(F.coalesce(none_if_empty(at["when"]), at["date"]), 1, 4)).alias("publication_year"),
+        none_if_empty(at["raw"]).alias("raw_text"),
     )
 
 

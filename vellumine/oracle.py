@@ -300,9 +300,9 @@ OTHER = {
     "tei_header": "WITH " + _LATEST + " " + _HEADER,
     "content_types": "WITH " + _LATEST + f', h AS ({_HEADER}) SELECT "contentTypeDisplay", "subType", count(*) AS n FROM h GROUP BY 1, 2',
     "tei_references": "WITH r AS (SELECT DISTINCT * FROM ref_records) SELECT paper_id AS doc_id, 'ref' || row_number() OVER (PARTITION BY paper_id ORDER BY ref_key) AS ref_id,"
-    + f" row_number() OVER (PARTITION BY paper_id ORDER BY ref_key) AS n, nullif({strip('title')}, '') AS title, nullif(" + _names("authors", "; ") + f", '') AS authors, nullif({strip('source')}, '') AS source,"
+    + f" row_number() OVER (PARTITION BY paper_id ORDER BY ref_key) AS n, nullif(title, '') AS title, nullif(" + _names("authors", "; ") + ", '') AS authors, nullif(source, '') AS source,"
     + " volume, issue_no, CASE WHEN split_part(pages, '-', 1) <> '' AND split_part(pages, '-', 2) <> '' THEN split_part(pages, '-', 1) || '-' || split_part(pages, '-', 2) END AS pages,"
-    + f" left(publication_year, 4) AS publication_year, nullif({strip('raw_text')}, '') AS raw_text FROM r",
+    + " left(publication_year, 4) AS publication_year, nullif(raw_text, '') AS raw_text FROM r",
     "rest_references": "WITH r AS (SELECT DISTINCT * FROM ref_records) SELECT paper_id AS doc_id, row_number() OVER (PARTITION BY paper_id ORDER BY ref_key) - 1 AS n, ref_id, title,"
     + f" regexp_extract(coalesce(raw_text, ''), '<em>(.*?)</em>', 1) AS source, {_fields(_RAW)}, raw_text, nullif(article_number, '') AS article_number,"
     + " CASE WHEN article_number <> '' THEN document_link END AS document_link FROM r",
@@ -313,6 +313,7 @@ OTHER = {
     + f" SELECT doc_id, ref_id, n, nullif(regexp_extract(t, '\"([^\"]+)\"', 1), '') AS title, em AS source, {_fields('t')}, t AS raw_text FROM q",
     "caption_images": _image_captions("Fig"),
     "caption_images_any": _image_captions(""),
+    "caption_images_the": _image_captions("The "),
     "caption_tables": "WITH" + _BLOCKS
     + f"c AS (SELECT rec_id, page_no, b.bbox AS bbox, {_said('b')} AS caption, row_number() OVER (PARTITION BY rec_id, page_no ORDER BY block_no) - 1 AS caption_no FROM every WHERE b.type = 'table_caption' AND {_whole('b')}),"
     + f" t AS (SELECT rec_id, page_no, block_no, b.bbox AS bbox FROM every WHERE b.type = 'table' AND {_whole('b')})"
@@ -347,4 +348,6 @@ OTHER = {
 
 
 def oracle_sql() -> dict[str, str]:
-    return P1 | STRUCTURE | OTHER
+    from vellumine.oracle_folds import FOLDS  # which builds on the sets stated here
+
+    return P1 | STRUCTURE | OTHER | FOLDS

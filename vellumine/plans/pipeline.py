@@ -29,7 +29,7 @@ def flat_schema(items: DataFrame) -> DataFrame:
     partitioning by document that the items came with: one scan, one shuffle. It gives what the operators of
     ``structure`` give one by one.
     """
-    doc, node = W.partitionBy("doc_id").orderBy("idx"), W.partitionBy("doc_id", "node_idx").orderBy("idx")
+    doc, node = W.partitionBy("doc_id").orderBy(*S.ORDER), W.partitionBy("doc_id", "node_idx").orderBy(*S.ORDER)
     so_far = lambda w: w.rowsBetween(W.unboundedPreceding, W.currentRow)
     count = lambda what, w: F.sum(F.when(what, 1).otherwise(0)).over(so_far(w))
     rows = S.outlined(items)
@@ -42,11 +42,11 @@ def flat_schema(items: DataFrame) -> DataFrame:
     path = F.transform(F.split("sec_id", "[.]"), lambda x: x.cast("int"))
     eq_id = F.concat("para_id", F.lit("_eq"), F.col("eq_no").cast("string"))
     lists = {
-        "sections": ("is_node", ["idx"], {"sec_id": F.col("sec_id"), "title": F.col("stripped")}),
+        "sections": ("is_node", S.ORDER, {"sec_id": F.col("sec_id"), "title": F.col("stripped")}),
         "paragraphs": ("is_para", [path, "para_no"], {"para_id": F.col("para_id"), "sec_id": F.col("sec_id"), "text": F.col("stripped")}),
-        "equations": ("is_eq", [eq_id, "idx"], {"eq_id": eq_id, "para_id": F.col("para_id"), "raw_latex": F.col("stripped")}),
-        "figures": ("is_fig", ["idx"], {"fig_id": F.concat(F.lit("fig"), "fig_no"), "caption": X.first_or_empty(F.col("img_caption"))}),
-        "tables": ("is_tab", ["idx"], {"tab_id": F.concat(F.lit("tab"), "tab_no"), "caption": X.first_or_empty(F.col("table_caption"))}),
+        "equations": ("is_eq", [eq_id, *S.ORDER], {"eq_id": eq_id, "para_id": F.col("para_id"), "raw_latex": F.col("stripped")}),
+        "figures": ("is_fig", ["fig_no"], {"fig_id": F.concat(F.lit("fig"), "fig_no"), "caption": X.first_or_empty(F.col("img_caption"))}),
+        "tables": ("is_tab", ["tab_no"], {"tab_id": F.concat(F.lit("tab"), "tab_no"), "caption": X.first_or_empty(F.col("table_caption"))}),
     }
     gathered = []
     for name, (what, order, fields) in lists.items():

@@ -99,3 +99,14 @@ def references_service(url_of: Callable[[str], str], doc_type: str = "string", t
         return call
 
     return BatchProvider(make, "answer string", doc_type)
+
+
+def text_layer(make: Callable[[], Callable[[bytes], bytes | None]], doc_type: str = "string") -> BatchProvider:
+    """``content`` of each document after recognition: *make* builds, once for a worker, a function that gives a document
+    with a text layer for one without. Where it gives none, or raises, the content is null and the error says so."""
+
+    def build() -> Callable[[bytes], dict]:
+        recognise = make()
+        return lambda content: {"content": recognise(content)}
+
+    return BatchProvider(build, "content binary", doc_type)

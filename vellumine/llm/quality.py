@@ -5,7 +5,7 @@ document's value is the median over its passages by characters: what more than h
 whatever the rest is. For each language the mean and covariance of prose are estimated robustly over all documents: from
 medians and quartiles, the estimate is concentrated in a few rounds on the documents near it. The Mahalanobis distance
 of a document from its language's prose is the sum of its statistics' contributions, which are reported, and it alone
-decides: a document is no prose if it is further than a text with half the common words of that prose must be.
+decides: a document is no prose if it is further than a text with half the common words of that prose is in the mean.
 
 Texts are read once; the rounds pass over the statistics alone and return moments whose size is fixed by the number
 of statistics and of languages.
@@ -178,10 +178,12 @@ def _squared(x: np.ndarray, model: tuple) -> tuple[np.ndarray, np.ndarray]:
 
 
 def fitted(mean: np.ndarray, cov: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
-    """The model of one language. A text with half the mean share of common words is, whatever its other statistics
-    are, at least ``(mean / 2) ** 2 / variance`` away: that is the limit, if it is above the 0.999 quantile of the distance."""
+    """The model of one language. A text with half the mean share of common words is, by that alone, ``(mean / 2) ** 2 / variance``
+    away, and if its other statistics scatter as those of prose do, further by their number in the mean: that is the
+    limit, if it is above the 0.999 quantile of the distance."""
     cov = cov + np.eye(len(mean)) * STEP**2
-    return mean, np.linalg.inv(cov), float(max((mean[COMMON] / 2) ** 2 / cov[COMMON, COMMON], chi2_quantile(len(mean))))
+    half = (mean[COMMON] / 2) ** 2 / cov[COMMON, COMMON] + len(mean) - 1
+    return mean, np.linalg.inv(cov), float(max(half, chi2_quantile(len(mean))))
 
 
 def prose_model(stats: DataFrame, rounds: int = 4) -> Model:

@@ -32,6 +32,10 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scans(spark, sf_dir).damaged()
 
 
+def p3_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _scans(spark, sf_dir).emissions()
+
+
 def p3_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scans(spark, sf_dir).repaired()
 

@@ -66,7 +66,8 @@ def myers(pattern: list[str], text: list[str], inside: bool = False) -> int:
             score += 1
         elif left & high:
             score -= 1
-        least = min(least, score)
+        if score < least:
+            least = score
         right = (right << 1 | step) & mask
         left = (left << 1) & mask
         up = (left | ~(diagonal | right)) & mask
@@ -79,6 +80,7 @@ class Items:
 
     def __init__(self, rows: list[tuple[int, str]]):
         self.words = {i: w for i, t in rows if t and len(w := words(t)) >= RUN}
+        self.sets = {i: frozenset(w) for i, w in self.words.items()}
         self.index: dict[tuple[str, ...], list[tuple[int, int]]] = {}
         for i, w in self.words.items():
             for at in pieces(w):
@@ -94,17 +96,18 @@ class Items:
                     yield item, at, p
 
     def verified(self, doc: list[str], item: int, at: int, p: int) -> bool:
-        """Whether the words around the piece are within the error budget of a run through it."""
+        """Whether the words around the piece are within the error budget of a run through it. Each word of the item that
+        the document lacks there is an error of its own, which tells most hits by chance without the distance."""
         w = self.words[item]
         lo, hi = max(0, at - PIECE), min(len(w), at + 2 * PIECE)
         budget = hi - lo - RUN
-        if budget < 0:
-            return False
         shift = p - at
-        return myers(w[lo:hi], doc[max(0, lo + shift) : max(0, hi + shift)]) <= budget
+        there = doc[max(0, lo + shift) : max(0, hi + shift)]
+        return budget >= 0 and len(set(w[lo:hi]).difference(there)) <= budget and myers(w[lo:hi], there) <= budget
 
     def edits(self, doc: list[str], item: int, shifts: set[int]) -> int | None:
-        """The least distance of the item from a stretch of the document around its hits; None above the error budget."""
+        """The least distance of the item from a stretch of the document around its hits; None above the error budget. A word
+        of the item that such a stretch lacks is an edit of its own."""
         w = self.words[item]
         k = len(w) // PIECE - 1
         spans: list[list[int]] = []
@@ -114,7 +117,8 @@ class Items:
                 spans[-1][1] = hi
             else:
                 spans.append([lo, hi])
-        best = min(myers(w, doc[lo:hi], inside=True) for lo, hi in spans)
+        near = [part for lo, hi in spans if len(self.sets[item].difference(part := doc[lo:hi])) <= k]
+        best = min([myers(w, part, inside=True) for part in near], default=len(w))
         return best if best <= k else None
 
     def leaked(self, doc: list[str]) -> dict[int, tuple[int, int, int | None]]:

@@ -1,15 +1,18 @@
 """Boilerplate rows taken out of a document's items, the text around them closed up.
 
-The rule is a fold over the items in reading order, in which a row may change rows before and after it; it runs document
-by document.
+The rule is a fold over the items in reading order, in which a row may change rows before and after it; it runs over sorted
+partitions, document after document.
 """
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vellumine.functions import text as X
 from vellumine.functions.latex import cleaned_inline
@@ -55,19 +58,38 @@ def cleaned(items: DataFrame) -> DataFrame:
     Only documents with a bad row go through the fold; the rows of all others are given as they are marked, in the JVM.
     A document that cannot be cleaned gives one row with an error code and no place. Null texts count as empty.
     """
-    doc = items.schema["doc_id"].dataType.simpleString()
+    schema = T.StructType([items.schema["doc_id"], *(T.StructField(n, k) for n, k in (("idx", T.IntegerType()), ("type", T.StringType()), ("text", T.StringType()), ("text_level", T.IntegerType()), ("error_code", T.StringType())))])
+    columns = ["doc_id", "idx", "type", "text", "text_level", "bad", "clean"]
+    names, kinds = schema.names, [pa.int32(), pa.string(), pa.string(), pa.int32(), pa.string()]
 
-    def run(ids: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        columns = ["idx", "type", "text", "text_level", "bad", "clean"]
-        rows = [dict(zip(columns, (i, t, x, None if pd.isna(v) else int(v), b, c))) for i, t, x, v, b, c in pdf.sort_values(["idx", "text"], kind="stable")[columns].itertuples(index=False)]
+    def folded(doc: object, rows: list[dict]) -> list[tuple]:
         out, error = fold(rows)
-        table = [(ids[0], r["idx"], r["type"], r["text"], r["text_level"], None) for r in out] if not error else [(ids[0], None, None, None, None, error)]
-        return pd.DataFrame(table, columns=["doc_id", "idx", "type", "text", "text_level", "error_code"]).astype({"idx": "Int32", "text_level": "Int32"})
-
+        return [(doc, r["idx"], r["type"], r["text"], r["text_level"], None) for r in out] if not error else [(doc, None, None, None, None, error)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The documents of a partition, which is sorted, one after another; a document may reach over batches."""
+        at, rows, first = None, [], None
+        for b in batches:
+            first = first or b.schema.field(0).type
+            out = []
+            for row in b.to_pylist():
+                if rows and row["doc_id"] != at:
+                    out.extend(folded(at, rows))
+                    rows = []
+                at = row["doc_id"]
+                rows.append(row)
+            yield made(out, first)
+        if rows:
+            yield made(folded(at, rows), first)
+
+    def made(out: list[tuple], first: pa.DataType) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(list(zip(*out)) or [()] * 6, [first, *kinds])], names=names)
+
+    # the window leaves each document whole in one partition, so sorting there is all that the fold needs
     rows = marked(items).withColumn("any_bad", F.max("bad").over(W.partitionBy("doc_id")))
     sound = rows.filter("not any_bad").select("doc_id", "idx", "type", F.col("clean").alias("text"), "text_level", F.lit(None).cast("string").alias("error_code"))
-    folded = rows.filter("any_bad").groupBy("doc_id").applyInPandas(run, f"doc_id {doc}, idx int, type string, text string, text_level int, error_code string")
-    return sound.unionByName(folded).filter(F.col("error_code").isNotNull() | ~X.is_boilerplate(F.col("text")))
+    rest = rows.filter("any_bad").select(*columns).sortWithinPartitions("doc_id", "idx", "text").mapInArrow(run, schema)
+    return sound.unionByName(rest).filter(F.col("error_code").isNotNull() | ~X.is_boilerplate(F.col("text")))
 
 
 def bad_entries(items: DataFrame) -> DataFrame:

@@ -84,6 +84,19 @@ def test_ties_go_to_the_lesser_spelling(spark):
     assert rows(N.linked(refs(spark, [], [("Optic", 5), ("Optik", 5)])), "name", "entity") == [("Optic", "Optic"), ("Optik", "Optic")]
 
 
+def test_no_side_is_broadcast(spark, monkeypatch):
+    plans, settled = [], N.settled
+
+    def noted(df, *rest):
+        plans.append(df._jdf.queryExecution().sparkPlan().toString())
+        return settled(df, *rest)
+
+    monkeypatch.setattr(N, "settled", noted)
+    last = N.variant_pairs(N.linked(refs(spark, PEOPLE, VENUES)))
+    plans.append(last._jdf.queryExecution().sparkPlan().toString())
+    assert any("SortMergeJoin" in p for p in plans) and not [p for p in plans if "Broadcast" in p]
+
+
 def test_same_result_whatever_the_partitions(spark):
     df = refs(spark, PEOPLE, VENUES)
     assert rows(N.linked(df)) == rows(N.linked(df.repartition(7).orderBy("ref_key", ascending=False)))

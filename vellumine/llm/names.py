@@ -10,7 +10,8 @@ All mentions are first reduced to distinct spellings and these to distinct forms
 words of a venue) with their counts, so a name that holds a third of all rows is one row from there on. Forms meet
 their candidates by joins on keys that only related forms share (deletions of a letter, full names of a nickname,
 prefixes, an acronym with the beginning of a word), and what has no given name meets the best entity of its initials by
-an aggregate. Nothing gathers the forms of one surname or acronym, however many there are.
+an aggregate. Nothing gathers the forms of one surname or acronym, however many there are. All joins are merge joins: a side
+read from compressed files may be many times larger in the driver's memory than the size a broadcast is chosen by.
 """
 
 from __future__ import annotations
@@ -217,9 +218,9 @@ def _oriented(parsed: DataFrame) -> DataFrame:
     pair = persons.filter("not known")
     first, last = words.select(F.col("word").alias("a"), F.col("odds").alias("odds_a")), words.select(F.col("word").alias("b"), F.col("odds").alias("odds_b"))
     natural = F.coalesce("odds_a", F.lit(0.0)) - F.coalesce("odds_b", F.lit(0.0)) + F.lit(seen) >= 0
-    turned = pair.join(first, "a", "left").join(last, "b", "left").select("kind", "name", "n", F.when(natural, F.col("b")).otherwise(F.col("a")).alias("a"), F.when(natural, F.col("a")).otherwise(F.col("b")).alias("given"), "middle", "words")
+    turned = pair.hint("merge").join(first, "a", "left").hint("merge").join(last, "b", "left").select("kind", "name", "n", F.when(natural, F.col("b")).otherwise(F.col("a")).alias("a"), F.when(natural, F.col("a")).otherwise(F.col("b")).alias("given"), "middle", "words")
     both = parsed.filter("known").select("kind", "name", "n", "a", "given", "middle", "words").unionByName(turned)
-    return both.join(words.select(F.col("word").alias("given"), "gfreq"), "given", "left").withColumn("gfreq", F.coalesce("gfreq", F.lit(0)))
+    return both.hint("merge").join(words.select(F.col("word").alias("given"), "gfreq"), "given", "left").withColumn("gfreq", F.coalesce("gfreq", F.lit(0)))
 
 
 def deletions(word: str, short: int = 64) -> list[str]:
@@ -346,7 +347,7 @@ def _met(nodes: DataFrame, fields: list[str], keys, relation, useful: str = "tru
         rows = nodes.select(*names).mapInPandas(run, "key long, " + ", ".join(f"`{x}` {kinds[x]}" for x in names))
         return rows.select("key", *(F.col(x).alias(f"{side}_{x}") for x in names[:4]), node.alias(f"{side}_node"))
 
-    pairs = keyed("t", True).join(keyed("f", False), "key").filter(f"t_id <> f_id and ({useful})").drop("key")
+    pairs = keyed("t", True).hint("merge").join(keyed("f", False), "key").filter(f"t_id <> f_id and ({useful})").drop("key")
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -370,7 +371,7 @@ def _ordered(edges: DataFrame, oneway: bool) -> DataFrame:
     attached to it and never the other way."""
     short = edges.filter("short").select("v").distinct()
     mine, its = short.withColumn("v_short", F.lit(1)), short.select(F.col("v").alias("c"), F.lit(1).alias("c_short"))
-    both = edges.join(mine, "v", "left").join(its, "c", "left").fillna(0, ["v_short", "c_short"])
+    both = edges.hint("merge").join(mine, "v", "left").hint("merge").join(its, "c", "left").fillna(0, ["v_short", "c_short"])
     if oneway:
         both = both.filter(F.col("short") | (F.col("change") == "typo"))
     place = lambda side: F.struct(f"{side}_short", -F.col(f"{side}_rank"), -F.col(f"{side}_n"), side)
@@ -402,9 +403,9 @@ def _roots(links: DataFrame) -> DataFrame:
     links = settled(links.select("v", "target"))
     while True:
         further = links.select(F.col("v").alias("target"), F.col("target").alias("last"))
-        if not links.join(further, "target", "left_semi").head(1):
+        if not links.hint("merge").join(further, "target", "left_semi").head(1):
             return links.withColumnRenamed("target", "root")
-        links = settled(links.join(further, "target", "left").select("v", F.coalesce("last", "target").alias("target")))
+        links = settled(links.hint("merge").join(further, "target", "left").select("v", F.coalesce("last", "target").alias("target")))
 
 
 def _lead() -> Column:
@@ -436,19 +437,19 @@ def _persons(turned: DataFrame) -> DataFrame:
     channel = fit(edges, mentions, CHANNEL, 0.0) | {"initial": ((seen["initial"] or 0) + PRIOR * CHANNEL["initial"]) / (mentions + PRIOR)}
     log = {x: math.log(p) for x, p in channel.items()}
     root = _roots(_best(edges, channel, 0.0)).select(F.split_part("v", F.lit(apart), F.lit(1)).alias("a"), F.split_part("v", F.lit(apart), F.lit(2)).alias("given"), F.split_part("root", F.lit(apart), F.lit(2)).alias("told"))
-    forms = forms.join(root, ["a", "given"], "left").withColumn("told", F.coalesce("told", "given"))
+    forms = forms.hint("merge").join(root, ["a", "given"], "left").withColumn("told", F.coalesce("told", "given"))
     # full names: one without middle initials goes to the best with some
     by_name = forms.groupBy("a", "told", "middle").agg(F.sum("n").alias("n")).withColumn("init", F.substring("told", 1, 1))
     full = by_name.filter(F.length("told") > 1).withColumn("mid", F.col("middle"))
     best = _top(full.filter("middle <> ''"), ["a", "told"], F.log("n"), "best")
     joins = (F.col("middle") == "") & (-F.col("best.s") + log["same"] + log["no_middle"] > F.log("n") + math.log(COLLISION))
-    full = settled(full.join(best, ["a", "told"], "left").withColumn("mid", F.when(F.coalesce(joins, F.lit(False)), F.col("best.mid")).otherwise(F.col("middle"))).select("a", "init", "told", "middle", "mid", "n"))
+    full = settled(full.hint("merge").join(best, ["a", "told"], "left").withColumn("mid", F.when(F.coalesce(joins, F.lit(False)), F.col("best.mid")).otherwise(F.col("middle"))).select("a", "init", "told", "middle", "mid", "n"))
     entities = full.groupBy("a", "init", "told", "mid").agg(F.sum("n").alias("n"))
     # initials with middle initials, then those without any: each goes to the best entity that they fit
     bare = by_name.filter(F.length("told") <= 1).select("a", "init", "told", "middle", "n")
     tops = _top(entities, ["a", "init", "mid"], F.log("n"), "top")
-    two = bare.filter("middle <> ''").join(tops.select("a", "init", F.col("mid").alias("middle"), F.col("top").alias("equal")), ["a", "init", "middle"], "left")
-    two = two.join(tops.filter("mid = ''").select("a", "init", F.col("top").alias("open")), ["a", "init"], "left")
+    two = bare.filter("middle <> ''").hint("merge").join(tops.select("a", "init", F.col("mid").alias("middle"), F.col("top").alias("equal")), ["a", "init", "middle"], "left")
+    two = two.hint("merge").join(tops.filter("mid = ''").select("a", "init", F.col("top").alias("open")), ["a", "init"], "left")
     s1, s2 = -F.col("equal.s") + log["initial"] + log["same"], -F.col("open.s") + log["initial"] + log["new_middle"]
     own = F.log("n") + math.log(COLLISION)
     low = F.lit(-1e9)
@@ -458,18 +459,18 @@ def _persons(turned: DataFrame) -> DataFrame:
     two = settled(two.withColumn("to", to).withColumn("opened", (s2 > s1) & (s2 > own)).select("a", "init", "told", "middle", "n", F.col("to.told").alias("etold"), F.when(F.col("opened"), "").otherwise(F.col("to.mid")).alias("emid")))
     entities = entities.select("a", "init", "told", "mid", "n").unionByName(two.select("a", "init", F.col("etold").alias("told"), F.col("emid").alias("mid"), "n")).groupBy("a", "init", "told", "mid").agg(F.sum("n").alias("n"))
     score = F.log("n") + F.when(F.length("told") > 1, log["initial"]).otherwise(log["same"]) + F.when(F.col("mid") == "", log["same"]).otherwise(log["no_middle"])
-    one = bare.filter("middle = ''").join(_top(entities, ["a", "init"], score, "top"), ["a", "init"], "left")
+    one = bare.filter("middle = ''").hint("merge").join(_top(entities, ["a", "init"], score, "top"), ["a", "init"], "left")
     fits = F.coalesce(-F.col("top.s") > own, F.lit(False))
     one = one.select("a", "told", "middle", F.when(fits, F.col("top.told")).otherwise(F.col("told")).alias("etold"), F.when(fits, F.col("top.mid")).otherwise(F.lit("")).alias("emid"))
     whole = full.select("a", "told", "middle", F.col("told").alias("etold"), F.col("mid").alias("emid")).unionByName(two.select("a", "told", "middle", "etold", "emid")).unionByName(one)
-    placed = settled(forms.join(whole, ["a", "told", "middle"]).withColumn("entity", F.concat_ws(apart, "a", "etold", "emid")).select("a", "given", "middle", "n", "spelt", "etold", "emid", "entity"))
+    placed = settled(forms.hint("merge").join(whole, ["a", "told", "middle"]).withColumn("entity", F.concat_ws(apart, "a", "etold", "emid")).select("a", "given", "middle", "n", "spelt", "etold", "emid", "entity"))
     # persons of other surnames or initials, by one error or a nickname
     nodes = placed.groupBy("entity", "a", "etold").agg(F.sum("n").alias("n"), F.sum("spelt").alias("spelt"), F.max(F.when(F.col("emid") != "", F.col("emid")).otherwise(F.col("middle"))).alias("mid"))
     nodes = settled(nodes.select(F.col("entity").alias("id"), F.lit(0).cast("long").alias("rank"), "n", "spelt", "a", F.col("etold").alias("given"), "mid"))
     edges = settled(_ordered(_met(nodes, ["a", "given", "mid"], entity_keys, entity_relation, "key & 1 = 1 or t_node.a <> f_node.a"), oneway=False))
     roots = _roots(_best(edges, fit(edges, mentions, CHANNEL, 4.0), 4.0))
-    last = placed.join(roots, placed["entity"] == roots["v"], "left").select("a", "given", "middle", F.coalesce("root", "entity").alias("entity"))
-    return some.join(last, ["a", "given", "middle"]).select("name", "entity")
+    last = placed.hint("merge").join(roots, placed["entity"] == roots["v"], "left").select("a", "given", "middle", F.coalesce("root", "entity").alias("entity"))
+    return some.hint("merge").join(last, ["a", "given", "middle"]).select("name", "entity")
 
 
 def _venues(turned: DataFrame) -> DataFrame:
@@ -481,7 +482,7 @@ def _venues(turned: DataFrame) -> DataFrame:
     channel = fit(edges, _mentions(nodes), CHANNEL, 4.0)
     roots = _roots(_best(edges, channel, 4.0))
     named = some.withColumn("id", F.when(F.size("words") > 0, F.col("id")).otherwise(F.concat(F.lit("\x1f"), "name")))
-    return named.join(roots, named["id"] == roots["v"], "left").select("name", F.coalesce("root", "id").alias("entity"))
+    return named.hint("merge").join(roots, named["id"] == roots["v"], "left").select("name", F.coalesce("root", "id").alias("entity"))
 
 
 def linked(refs: DataFrame) -> DataFrame:
@@ -497,9 +498,9 @@ def linked(refs: DataFrame) -> DataFrame:
     with ThreadPoolExecutor(2) as both:  # the two kinds have nothing in common, so their stages run side by side
         persons, venues = both.submit(_persons, turned), both.submit(_venues, turned)
     of = persons.result().withColumn("kind", F.lit("author")).unionByName(venues.result().withColumn("kind", F.lit("source")))
-    found = settled(turned.select("kind", "name", "n").join(of, ["kind", "name"]), refs.sparkSession)
+    found = settled(turned.select("kind", "name", "n").hint("merge").join(of, ["kind", "name"]), refs.sparkSession)
     leads = found.groupBy("kind", "entity").agg(_lead().alias("lead"))
-    return found.join(leads, ["kind", "entity"]).select("kind", "name", "n", F.col("lead.name").alias("entity"))
+    return found.hint("merge").join(leads, ["kind", "entity"]).select("kind", "name", "n", F.col("lead.name").alias("entity"))
 
 
 def variant_pairs(links: DataFrame) -> DataFrame:
@@ -509,4 +510,4 @@ def variant_pairs(links: DataFrame) -> DataFrame:
     """
     lo = links.select("kind", "entity", F.col("name").alias("name_lo"))
     hi = links.select("kind", "entity", F.col("name").alias("name_hi"))
-    return lo.join(hi, ["kind", "entity"]).filter("name_lo < name_hi").select("kind", "name_lo", "name_hi")
+    return lo.hint("merge").join(hi, ["kind", "entity"]).filter("name_lo < name_hi").select("kind", "name_lo", "name_hi")

@@ -109,6 +109,31 @@ def test_lexicon_changes_no_result(spark):
     assert text[200] == "the plasma-crystal rises" and rows(few.repaired()) == rows(many.repaired())
 
 
+def test_every_row_counts_in_the_fit(spark):
+    import numpy as np
+
+    texts = ["The amplifier was measured\nbefore the layer."] * 5500 + ["12"] * 300 + ["the layer\n" * 3000, "  \n "]
+    schema = "item_id long, type string, text_level int, text string"
+    content = spark.createDataFrame([(i, "text", None, t) for i, t in enumerate(texts)], schema)
+    got = O.Scans({"content_list": (content, "item_id")}).model
+    wanted = O.Model.prior().fitted([O.features(t.split("\n")) for t in texts if t.strip()])
+    assert np.allclose(got.start, wanted.start) and np.allclose(got.move, wanted.move) and all(np.allclose(a, b) for a, b in zip(got.emit, wanted.emit))
+    again = O.Scans({"content_list": (content.repartition(7), "item_id")}).model
+    assert (got.start == again.start).all() and (got.move == again.move).all() and all((a == b).all() for a, b in zip(got.emit, again.emit))
+
+
+def test_expected_numbers_by_hand():
+    import itertools
+
+    import numpy as np
+
+    model, row = O.Model.prior(), O.features(["ON THE SYMMETRY   3", "the body goes on", "12"])
+    sums = model.expected([O.coded(row)], [2])[:4] / O._UNIT
+    weigh = lambda p: model.start[p[0]] + sum(model.at(x)[s] for x, s in zip(row, p)) + sum(model.move[a, b] for a, b in zip(p, p[1:]))
+    paths = {p: np.exp(weigh(p)) for p in itertools.product(range(4), repeat=3)}
+    assert np.allclose(sums, [2 / 3 * sum(w for p, w in paths.items() if p[0] == s) / sum(paths.values()) for s in range(4)], atol=1e-6)
+
+
 def test_emissions_are_reported(spark):
     content = spark.createDataFrame([(k, "text", None, t) for _, k, t, _ in BODY], "item_id long, type string, text_level int, text string")
     got = O.Scans({"content_list": (content, "item_id")}).emissions().collect()

@@ -2,8 +2,8 @@
 
 Lines are labelled by a hidden Markov model as body, break (a body line that opens a paragraph), running head or page
 number, from layout features alone: numbers set off by a gap, capitals, a name before a colon, line ends and starts,
-length and place. The model is fitted by expectation maximisation on a bounded sample of rows (*sample_rows*, rows
-of least hash), from stated priors; everything else covers all rows.
+length and place. The model is fitted by expectation maximisation on all rows of running text, from stated priors: rows
+are counted by the features of their lines, and each round sums expected counts over these in the tasks.
 
 Words are judged by counts over the whole corpus: a rare form is a misread word if undoing confusions of shapes gives
 a much more frequent one; a word cut at a line end is rejoined without its hyphen unless the hyphenated compound is
@@ -40,6 +40,7 @@ _GAP = re.compile(r"^\s*\d{1,5}\s{2,}\S|\S\s{3,}\d{1,5}\s*$")
 _NAMED = re.compile(r"^\s*[^\W\d_][\w'’.-]*(?:\s+(?:et al\.|and others|[^\W\d_][\w'’.-]*))?:\s+[^\W\d_]")
 _OPENING = re.compile(r"[.?!:—]\s*(?=[^\W\d_a-z])[^\W\d_]{4,}")
 _LETTERS = re.compile(r"[^\W\d_]+")
+_BLANKS = {i: " " for i in range(128) if not chr(i).isalpha()}
 _ENDS_HYPHEN = re.compile(rf"[^\W\d_][{_HYPHENS}][ \t]*$")
 _CUT_WORD = re.compile(rf"[^\W\d_]+[{_HYPHENS}][ \t]*\n[ \t]*\S+")
 
@@ -48,14 +49,15 @@ def features(lines: list[str]) -> list[tuple[int, ...]]:
     """Of each line: cue, capitals, end, start, words, place; each a small number."""
     out, last = [], len(lines) - 1
     for i, line in enumerate(lines):
-        words = _LETTERS.findall(line)
+        plain_ = line.isascii()
+        words = line.translate(_BLANKS).split() if plain_ else _LETTERS.findall(line)
         long = [w for w in words if len(w) > 3]
         if len(line) < 40 and _PAGE.match(line):
             cue = 1
         else:  # neither pattern can match without two blanks or a colon
             cue = 2 * ("  " in line and bool(_GAP.search(line))) + 3 * (":" in line and bool(_NAMED.match(line)))
             cue = 4 if cue == 5 else cue
-        upper = sum(w[0].isupper() for w in long)
+        upper = len([w for w in long if w < "["]) if plain_ else sum(w[0].isupper() for w in long)
         if upper:
             upper -= len(_OPENING.findall(line))
         if not cue and long and words[0] == long[0] and words[0][0].isupper() and (i == 0 or out[-1][2] == 0):
@@ -71,6 +73,16 @@ def features(lines: list[str]) -> list[tuple[int, ...]]:
 
 
 _SIZES = (5, 3, 4, 3, 4, 4)
+_STEPS = np.cumprod((1, *_SIZES[:-1]))
+_UNIT = 2.0**28  # of expected numbers
+_FIRST = 0x4000  # characters from here on stand for the features of one line
+
+
+def coded(seen: list[tuple[int, ...]]) -> str:
+    """The features of a row's lines as a text of one character for each line."""
+    return "".join([chr(_FIRST + a + 5 * b + 15 * c + 60 * d + 180 * e + 720 * f) for a, b, c, d, e, f in seen])
+
+
 # Priors of the emissions, by state and feature, and of the transitions; they are pseudo-counts for the fit.
 _PRIOR = {
     "body": ([0.993, 0.001, 0.004, 0.002, 1e-4], [0.96, 0.03, 0.01], [0.25, 0.2, 0.5, 0.05], [0.6, 0.3, 0.1], [0.05, 0.1, 0.35, 0.5], [0.05, 0.2, 0.5, 0.25]),
@@ -131,31 +143,60 @@ class Model:
             path.append(step[path[-1]])
         return path[::-1]
 
+    def expected(self, codes: list[str], times: list[int], most: int = 500_000) -> np.ndarray:
+        """The expected numbers of starts, moves and emissions (as by ``updated``) over rows of coded lines that occur so many times,
+        in units of 1 / _UNIT: whole numbers, so that their sum is the same in whatever order and tasks. Each row weighs as one,
+        shared out among its lines, so that one endless row doesn't outweigh all others."""
+        start, move, n = np.exp(self.start), np.exp(self.move), len(STATES)
+        digits = np.arange(int(np.prod(_SIZES)))[:, None] // _STEPS % _SIZES
+        table = np.exp(sum(e[:, digits[:, f]].T for f, e in enumerate(self.emit)))
+        starts, moves, seen = np.zeros(n, np.int64), np.zeros((n, n), np.int64), np.zeros((len(digits), n), np.int64)
+        order = sorted(range(len(codes)), key=lambda i: -len(codes[i]))
+        while order:
+            # rows of falling length: those that have a line t are the first ones, at each t
+            lines, k = 0, 0
+            while k < len(order) and (k == 0 or lines + len(codes[order[k]]) <= most):
+                lines, k = lines + len(codes[order[k]]), k + 1
+            some, order = order[:k], order[k:]
+            sizes = np.array([len(codes[i]) for i in some])
+            flat = np.frombuffer("".join(codes[i] for i in some).encode("utf-16-le"), np.uint16).astype(np.int64) - _FIRST
+            first, weight = np.cumsum(sizes) - sizes, (np.array([times[i] for i in some]) / sizes * _UNIT)[:, None]
+            there = np.searchsorted(-sizes, -np.arange(sizes[0]), "left")  # at t, the number of rows of more than t lines
+            alpha, scale = [], []
+            for t, m in enumerate(there):
+                b = table[flat[first[:m] + t]]
+                a = (start if t == 0 else sum(alpha[-1][:m, i, None] * move[i] for i in range(n))) * b
+                scale.append(a.sum(axis=1, keepdims=True))
+                alpha.append(a / scale[-1])
+            beta = np.ones((there[-1], n))
+            for t in range(len(there) - 1, -1, -1):
+                m, at = there[t], flat[first[: there[t]] + t]
+                gamma = np.rint(alpha[t] * beta * weight[:m]).astype(np.int64)
+                np.add.at(seen, at, gamma)
+                if t == 0:
+                    starts += gamma.sum(axis=0)
+                    break
+                ahead = table[at] * beta / scale[t]
+                moves += np.rint(alpha[t - 1][:m, :, None] * move * ahead[:, None, :] * weight[:m, :, None]).astype(np.int64).sum(axis=0)
+                beta = np.ones((there[t - 1], n))
+                beta[:m] = sum(ahead[:, j, None] * move[:, j] for j in range(n))
+        emits = [np.array([seen[digits[:, f] == v].sum(axis=0) for v in range(size)]).T for f, size in enumerate(_SIZES)]
+        return np.concatenate([starts, moves.ravel(), *(e.ravel() for e in emits)])
+
+    @staticmethod
+    def updated(sums: np.ndarray, weight: float = 50.0) -> Model:
+        """The model of expected numbers; the priors count as *weight* rows for each state."""
+        prior = Model.prior()
+        parts = [np.exp(p) * weight for p in (prior.start, prior.move, *prior.emit)]
+        at = np.cumsum([0, *(p.size for p in parts)])
+        start, move, *emit = (p + sums[i : i + p.size].reshape(p.shape) / _UNIT for p, i in zip(parts, at))
+        return Model(start / start.sum(), move / move.sum(axis=1, keepdims=True), [e / e.sum(axis=1, keepdims=True) for e in emit])
+
     def fitted(self, rows: list[list[tuple[int, ...]]], rounds: int = 4, weight: float = 50.0) -> Model:
-        """The model after *rounds* of expectation maximisation on *rows*; the priors count as *weight* lines for each state."""
-        model, prior, n = self, Model.prior(), len(STATES)
-        counted = Counter(tuple(r) for r in rows)
+        """The model after *rounds* of expectation maximisation on *rows*; the priors count as *weight* rows for each state."""
+        model, counted = self, Counter(map(coded, rows))
         for _ in range(rounds):
-            start, move = np.exp(prior.start) * weight, np.exp(prior.move) * weight
-            emit = [np.exp(e) * weight for e in prior.emit]
-            for row, times in counted.items():
-                b = np.array([model.at(x) for x in row])
-                alpha = np.empty((len(row), n))
-                beta = np.zeros((len(row), n))
-                alpha[0] = model.start + b[0]
-                for t in range(1, len(row)):
-                    alpha[t] = np.logaddexp.reduce(alpha[t - 1][:, None] + model.move, axis=0) + b[t]
-                for t in range(len(row) - 2, -1, -1):
-                    beta[t] = np.logaddexp.reduce(model.move + b[t + 1] + beta[t + 1], axis=1)
-                total = np.logaddexp.reduce(alpha[-1])
-                gamma = np.exp(alpha + beta - total) * times
-                start += gamma[0]
-                for t in range(1, len(row)):
-                    move += np.exp(alpha[t - 1][:, None] + model.move + b[t] + beta[t] - total) * times
-                for f, e in enumerate(emit):
-                    for t, x in enumerate(row):
-                        e[:, x[f]] += gamma[t]
-            model = Model(start / start.sum(), move / move.sum(axis=1, keepdims=True), [e / e.sum(axis=1, keepdims=True) for e in emit])
+            model = self.updated(model.expected(list(counted), list(counted.values())), weight)
         return model
 
 
@@ -197,30 +238,40 @@ def plain(text: str) -> str:
 def _count(batches: Iterator[pa.RecordBatch], most: int = 500_000) -> Iterator[pa.RecordBatch]:
     """Sums of this task, given out whenever they hold more than *most* tokens; the shuffle adds them up."""
     raw: Counter = Counter()
+    rows: Counter = Counter()
+    held = 0
     for b in batches:
-        for text in b.column(0).to_pylist():
+        for text, running in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
             text = plain(text)
+            if running and text.strip():
+                code = coded(features(text.split("\n")))
+                held += len(code) if code not in rows else 0
+                rows[code] += 1
             if "\n" in text:
                 text = _CUT_WORD.sub(" ", text)
             raw.update(text.split())
-        if len(raw) > most:
-            yield _forms(raw)
+        if len(raw) > most or held > 4 * most:
+            yield from _tallies(raw, rows)
             raw.clear()
-    yield _forms(raw)
+            rows.clear()
+            held = 0
+    yield from _tallies(raw, rows)
 
 
-def _forms(raw: Counter) -> pa.RecordBatch:
+def _tallies(raw: Counter, rows: Counter) -> Iterator[pa.RecordBatch]:
     words: Counter = Counter()
     for token, n in raw.items():
         form = token.strip(_EDGE).lower()
         if worth_judging(form):
             words[form] += n
-    return pa.RecordBatch.from_arrays([pa.array(list(words), pa.string()), pa.array(list(words.values()), pa.int64())], names=["form", "n"])
+    for lines, tally in ((False, words), (True, rows)):
+        yield pa.RecordBatch.from_arrays([pa.array([lines] * len(tally), pa.bool_()), pa.array(list(tally), pa.string()), pa.array(list(tally.values()), pa.int64())], names=["lines", "form", "n"])
 
 
-def word_counts(texts: DataFrame) -> DataFrame:
-    """``form, n``: the words of all texts (column ``text``), lower case, with their counts; summed up in each task before the shuffle."""
-    return texts.select("text").mapInArrow(_count, "form string, n long").groupBy("form").agg(F.sum("n").alias("n"))
+def tallied(texts: DataFrame) -> DataFrame:
+    """``lines, form, n``: the words of all texts (column ``text``), lower case, with their counts, and where *lines*, the rows of
+    running text (column ``running``) by the features of their lines; summed up in each task before the shuffle."""
+    return texts.select("text", "running").mapInArrow(_count, "lines boolean, form string, n long").groupBy("lines", "form").agg(F.sum("n").alias("n"))
 
 
 def _candidates(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -359,11 +410,10 @@ class Scans:
     cuts in running text.
     """
 
-    def __init__(self, tables: dict[str, tuple[DataFrame, str]], sample_rows: int = 5_000, lexicon_words: int = 20_000):
+    def __init__(self, tables: dict[str, tuple[DataFrame, str]], lexicon_words: int = 20_000):
         self.spark = next(iter(tables.values()))[0].sparkSession
-        some, self.total = None, 0
+        some = None
         for name, (rows, key) in tables.items():
-            self.total += rows.count()  # from the files' footers
             has = F.col("text").isNotNull() & F.col(key).isNotNull()
             running = F.lit(True)
             if "type" in rows.columns:
@@ -373,17 +423,29 @@ class Scans:
             one = rows.filter(has).select(F.lit(name).alias("tbl"), F.col(key).cast("long").alias("row_key"), "text", running.alias("running"))
             some = one if some is None else some.unionByName(one)
         self.texts = self.whole = some
-        self.rows = some.filter("running")
-        self.counts = settled(word_counts(self.texts), self.spark)
-        self.model = self._fit(sample_rows)
+        tally = settled(tallied(self.texts), self.spark)
+        self.counts = tally.filter("not lines").select("form", "n")
+        self.model = self._fit(tally.filter("lines").select("form", "n"))
         self.known = lexicon(self.counts, lexicon_words)
 
-    def _fit(self, most: int) -> Model:
-        """The model fitted on at most *most* rows: those of least hash, sought below a bound that leaves some eight times as many rows in all."""
-        share = min(1.0, 8 * most / max(1, self.total))
-        rows = self.rows.filter((F.pmod(F.xxhash64("tbl", "row_key"), F.lit(1_000_000)) < int(share * 1_000_000) + 1) & (F.length("text") <= 5000))
-        some = rows.orderBy(F.xxhash64("tbl", "row_key"), "row_key").limit(most).select("text").collect()
-        return Model.prior().fitted([features(plain(r[0]).split("\n")) for r in some]) if some else Model.prior()
+    @staticmethod
+    def _fit(rows: DataFrame, rounds: int = 4) -> Model:
+        """The model fitted on *rows* (``form``: coded lines, ``n``), all of them; what comes to the driver in each round are its sums."""
+        model = Model.prior()
+        for _ in range(rounds):
+
+            def run(batches: Iterator[pa.RecordBatch], model: Model = model) -> Iterator[pa.RecordBatch]:
+                total = 0
+                for b in batches:
+                    total = total + model.expected(b.column(0).to_pylist(), b.column(1).to_pylist())
+                if not isinstance(total, int):
+                    yield pa.RecordBatch.from_arrays([pa.array(range(len(total)), pa.int32()), pa.array(total, pa.int64())], names=["at", "n"])
+
+            sums = {r["at"]: r["n"] for r in rows.mapInArrow(run, "at int, n long").groupBy("at").agg(F.sum("n").alias("n")).collect()}
+            if not sums:
+                return model
+            model = Model.updated(np.array([float(sums[i]) for i in range(len(sums))]))
+        return model
 
     def _read(self) -> DataFrame:
         """``tbl, row_key, damage, form, compound, head, tail``: damage settled at once has an empty form."""
